@@ -82,11 +82,26 @@ def hypergeometric_sf(shared: Column, universe: Column, a: Column, b: Column) ->
     return F.when(shared <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), tail))
 
 
-def binomial_two_sided_half(agree: Column, n: Column) -> Column:
-    """Two-sided sign-test p: twice the smaller tail of Binomial(n, 1/2), at most 1."""
-    k = F.greatest(agree, n - agree)
+def binomial_upper_half(k: Column, n: Column) -> Column:
+    """P(X >= k) for Binomial(n, 1/2)."""
     terms = F.transform(
-        F.sequence(k.cast("long"), n.cast("long")),
-        lambda i: F.exp(ln_choose(n, i) - n * F.lit(math.log(2.0))),
+        F.sequence(k.cast("long"), F.greatest(n, k).cast("long")),
+        lambda i: F.when(i <= n, F.exp(ln_choose(n, i) - n * F.lit(math.log(2.0)))).otherwise(0.0),
+    )
+    return F.least(F.lit(1.0), F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x))
+
+
+def bh_small(df: DataFrame, p: str = "p", by: Sequence[str] = (), out: str = "fdr") -> DataFrame:
+    """BH by windows, for families bounded by the study design (cell types, programs, strata)."""
+    part = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+    clean = F.when(~F.isnan(p), F.col(p))
+    up = part.orderBy(F.col("_p").asc_nulls_last()).rangeBetween(W.unboundedPreceding, 0)
+    down = part.orderBy(F.col("_p").desc_nulls_first()).rangeBetween(W.unboundedPreceding, 0)
+    return (
+        df.withColumn("_p", clean)
+        .withColumn("_raw", F.col("_p") * F.count("_p").over(part) / F.count("_p").over(up))
+        .withColumn(
+            out, F.when(F.col("_p").isNotNull(), F.least(F.lit(1.0), F.min("_raw").over(down)))
+        )
+        .drop("_p", "_raw")
     )
-    return F.least(F.lit(1.0), 2 * F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x))

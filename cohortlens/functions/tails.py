@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 _lgamma = np.vectorize(math.lgamma, otypes=[float])
 _erfc = np.vectorize(math.erfc, otypes=[float])
@@ -186,32 +187,32 @@ def mann_whitney_two_sided(x: np.ndarray, y: np.ndarray) -> float:
     return float(min(1.0, math.erfc(max(0.0, (u - m * n / 2 - 0.5) / s) / math.sqrt(2))))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(student_two_sided(t, df))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def t_quantile_975(df: pd.Series) -> pd.Series:
     return pd.Series(student_quantile(0.975, df))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def normal_two_sided(z: pd.Series) -> pd.Series:
     return pd.Series(_erfc(np.abs(z.astype(float)) / math.sqrt(2)))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def chi2_sf(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(gammaincc(df.astype(float) / 2, x.astype(float) / 2))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def wilcoxon_p(diffs: pd.Series) -> pd.Series:
     return pd.Series([math.nan if d is None else wilcoxon_two_sided(d) for d in diffs])
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def mann_whitney_p(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series(
         [math.nan if a is None or b is None else mann_whitney_two_sided(a, b) for a, b in zip(x, y)]

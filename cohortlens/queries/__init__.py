@@ -5,6 +5,7 @@ from importlib import import_module
 FAMILIES = (
     "data_checks",
     "quality",
+    "comparisons",
 )
 
 
