@@ -6,6 +6,7 @@ FAMILIES = (
     "data_checks",
     "quality",
     "comparisons",
+    "labels_and_programs",
 )
 
 
