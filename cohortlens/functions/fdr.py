@@ -12,17 +12,20 @@ from pyspark.sql import Window as W
 from .ranks import value_ranks
 
 
-def bh_fdr(df: DataFrame, p: str = "p", by: Sequence[str] = (), out: str = "fdr") -> DataFrame:
+def bh_fdr(
+    df: DataFrame, p: str = "p", by: Sequence[str] = (), out: str = "fdr", weight: str | None = None
+) -> DataFrame:
     """BH within ``by``; null and NaN p-values stay null and do not count as tests.
 
     Ties share the largest rank, so the adjusted value of a p is the minimum over
     larger p of p·m/rank.  Ranks come from the bucketed ranking; the reverse running
     minimum is likewise taken inside buckets of p and combined over 200 bucket minima,
-    so neither step sorts a whole family in one task.
+    so neither step sorts a whole family in one task.  With ``weight`` a test counts by
+    its weight instead of one.
     """
     by = list(by)
     clean = df.withColumn("_p", F.when(~F.isnan(p), F.col(p)))
-    ranked = value_ranks(clean, by, "_p").withColumn(
+    ranked = value_ranks(clean, by, "_p", weight).withColumn(
         "_raw", F.col("_p") * F.col("total") / (F.col("below") + F.col("n"))
     )
     # p is a probability: its logarithmic bins are an order-preserving bucket of fixed number

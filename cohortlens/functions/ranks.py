@@ -145,3 +145,30 @@ def running_totals(
     for k in sums:
         out = out.withColumn(k, F.col(f"_i_{k}") + F.col(f"_o_{k}"))
     return out.drop("_bucket", *[f"_i_{k}" for k in sums], *[f"_o_{k}" for k in sums])
+
+
+def positions(
+    df: DataFrame, by: Sequence[str], value: str, key: str, name: str = "position", descending: bool = False
+) -> DataFrame:
+    """Exact 0-based position of every row by ``value``, ties by hashed ``key`` then ``key``.
+
+    Distinct values are ranked in buckets; a tied value, however large, is ranked the
+    same way over the hash of its keys.
+    """
+    by = list(by)
+    signed = df.filter(F.col(value).isNotNull()).withColumn(
+        "_v", (-F.col(value) if descending else F.col(value)).cast("double")
+    ).withColumn("_h", F.xxhash64(key))
+    outer = value_ranks(signed, by, "_v").select(
+        *by, "_v", F.col("below").alias("_below"), F.col("n").alias("_n"), F.col("total").alias(f"{name}_total")
+    )
+    ranked = signed.join(outer, [*by, "_v"])
+    inner = value_ranks(ranked.filter(F.col("_n") > 1).withColumn("_hd", F.col("_h").cast("double")), [*by, "_v"], "_hd").select(
+        *by, "_v", "_hd", F.col("below").alias("_inner")
+    )
+    tied = ranked.withColumn("_hd", F.col("_h").cast("double")).join(inner, [*by, "_v", "_hd"], "left")
+    same = W.partitionBy(*by, "_v", "_hd").orderBy("_h", key)
+    return tied.withColumn(
+        name, F.col("_below") + F.coalesce("_inner", F.lit(0)) + F.row_number().over(same) - 1
+    ).drop("_v", "_h", "_hd", "_below", "_n", "_inner")
+

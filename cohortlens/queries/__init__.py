@@ -7,6 +7,7 @@ FAMILIES = (
     "quality",
     "comparisons",
     "labels_and_programs",
+    "enrichment_and_networks",
 )
 
 
