@@ -145,7 +145,7 @@ def pseudobulk_de(
     """
     by = list(by)
     unit = [*by, donor, condition]
-    pb = pb.filter(F.col(condition).isin(case, control))
+    pb = materialise(pb.filter(F.col(condition).isin(case, control)), "pb")
     libs = materialise(
         pb.groupBy(*unit).agg(F.sum("count").cast("double").alias("lib")).filter(F.col("lib") > 0), "libs"
     )
@@ -160,7 +160,7 @@ def pseudobulk_de(
     )
     group = F.least("n_case", "n_control")
     need = F.when(group > 10, 10 + (group - 10) * 0.7).otherwise(group.cast("double"))
-    rows = attach(pb.join(libs, unit), sizes, by)
+    rows = materialise(attach(pb.join(libs, unit), sizes, by), "pb")
     kept = (
         rows.groupBy(*by, "gene")
         .agg(

@@ -535,7 +535,7 @@ def integration_metrics(embeddings: dict[str, DataFrame], batch: DataFrame, labe
         cl = lisi(nb, label).agg((1 - (F.avg("lisi") - 1) / max(n_l - 1, 1)).alias("clisi"))
         kb = batch_rejection(nb, batch).agg((1 - F.avg((tails.chi2_sf("chi2", "df") < alpha).cast("double"))).alias("kbet"))
         pc = pc_regression(emb, batch)
-        tr = transfer_labels(nb, label).join(label.withColumnRenamed("label", "_t"), "cell").agg(F.avg((F.col("label") == F.col("_t")).cast("double")).alias("label_agreement"))
+        tr = transfer_labels(nb, label).select("cell", F.col("label").alias("_l")).join(label.select("cell", F.col("label").alias("_t")), "cell").agg(F.avg((F.col("_l") == F.col("_t")).cast("double")).alias("label_agreement"))
         row = attach(attach(attach(attach(il, cl, []), kb, []), pc, []), tr, []).withColumn("embedding", F.lit(name))
         rows = row if rows is None else rows.unionByName(row)
     score = 0.4 * (F.col("ilisi") + F.col("kbet") + (1 - F.col("pcr"))) / 3 + 0.6 * (F.col("clisi") + F.col("label_agreement")) / 2

@@ -8,6 +8,7 @@ FAMILIES = (
     "comparisons",
     "labels_and_programs",
     "enrichment_and_networks",
+    "graphs_and_trajectories",
 )
 
 

@@ -612,3 +612,9 @@ def i10_support(spark, sf):
 def i10_stability(spark, sf):
     full = loadings(spark, sf, "A")
     return i.program_stability([i.match_loadings(full, loadings(spark, sf, f), ["gene"]) for f in ("N", "R")])
+
+
+def last_cells(spark, sf, cells):
+    """Customers with their number of orders."""
+    n = b.table(spark, sf, "orders").groupBy(F.col("o_custkey").cast("string").alias("cell")).agg(F.count(F.lit(1)).alias("k"))
+    return cells.join(n, "cell")
