@@ -514,7 +514,7 @@ def batch_rejection(neighbors: DataFrame, batch: DataFrame) -> DataFrame:
 
 def pc_regression(embedding: DataFrame, batch: DataFrame) -> DataFrame:
     """Share of embedding variance explained by batch, weighted over dimensions."""
-    long = embedding.join(batch, "cell").select("label", F.posexplode("vec").alias("dim", "x"))
+    long = embedding.select("cell", "vec").join(batch.select("cell", "label"), "cell").select("label", F.posexplode("vec").alias("dim", "x"))
     b = long.groupBy("dim", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("x").cast("double")).alias("s"), F.sum(F.col("x").cast("double") * F.col("x")).alias("ss"))
     d = b.groupBy("dim").agg(
         (F.sum("ss") - F.sum("s") * F.sum("s") / F.sum("n")).alias("tot"),

@@ -289,6 +289,4 @@ def hvg_finalize(
     flag = F.col("n_batches").isNotNull()
     for pattern in exclude:
         flag = flag & ~F.col(symbol).rlike(pattern)
-    return out.withColumn("n_batches", F.coalesce("n_batches", F.lit(0))).withColumn(
-        "highly_variable", flag
-    )
+    return out.withColumn("highly_variable", flag).fillna(0, ["n_batches"])

@@ -9,6 +9,7 @@ FAMILIES = (
     "labels_and_programs",
     "enrichment_and_networks",
     "graphs_and_trajectories",
+    "sources_and_models",
 )
 
 
