@@ -19,7 +19,7 @@ def bh_fdr(
 
     Ties share the largest rank, so the adjusted value of a p is the minimum over
     larger p of p·m/rank.  Ranks come from the bucketed ranking; the reverse running
-    minimum is likewise taken inside buckets of p and combined over 200 bucket minima,
+    minimum is likewise taken inside buckets of p and combined over the bucket minima,
     so neither step sorts a whole family in one task.  With ``weight`` a test counts by
     its weight instead of one.
     """
@@ -28,21 +28,20 @@ def bh_fdr(
     ranked = value_ranks(clean, by, "_p", weight).withColumn(
         "_raw", F.col("_p") * F.col("total") / (F.col("below") + F.col("n"))
     )
-    # p is a probability: its logarithmic bins are an order-preserving bucket of fixed number
-    binned = ranked.withColumn(
-        "_bin", F.when(F.col("_p") > 0, F.greatest(F.lit(-199), F.floor(4 * F.log("_p"))))
-        .otherwise(F.lit(-200)).cast("int")
+    # p is a probability: linear bins above 0.001 and logarithmic bins below it are an
+    # order-preserving bucket of fixed number; minima run down from the largest p, since a
+    # frame that only grows is linear in its rows
+    fine = F.floor(F.col("_p") * 1000)
+    coarse = F.when(F.col("_p") > 0, F.greatest(F.lit(-400), F.floor(8 * F.log("_p")))).otherwise(F.lit(-401))
+    binned = ranked.withColumn("_bin", F.when(F.col("_p") >= 0.001, fine).otherwise(coarse).cast("int"))
+    larger = W.partitionBy(*by).orderBy(F.col("_bin").desc()).rowsBetween(W.unboundedPreceding, -1)
+    bins = binned.groupBy(*by, "_bin").agg(F.min("_raw").alias("_m")).select(
+        *by, "_bin", F.min("_m").over(larger).alias("_tail")
     )
-    later = (
-        W.partitionBy(*by).orderBy("_bin").rowsBetween(1, W.unboundedFollowing)
-    )
-    tails = binned.groupBy(*by, "_bin").agg(F.min("_raw").alias("_m")).select(
-        *by, "_bin", F.min("_m").over(later).alias("_tail")
-    )
-    inside = W.partitionBy(*by, "_bin").orderBy("_p").rowsBetween(0, W.unboundedFollowing)
+    inside = W.partitionBy(*by, "_bin").orderBy(F.col("_p").desc()).rowsBetween(W.unboundedPreceding, 0)
     adjusted = (
         binned.withColumn("_in", F.min("_raw").over(inside))
-        .join(tails, [*by, "_bin"])
+        .join(bins, [*by, "_bin"])
         .select(*by, "_p", F.least(F.lit(1.0), F.col("_in"), F.col("_tail")).alias(out))
     )
     null_safe = clean.drop(out)

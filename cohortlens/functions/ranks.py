@@ -14,7 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-SPLITS = 48
+COARSE = 7
+SPLITS = COARSE * COARSE
+# groups with fewer distinct values are sorted in one piece
+SMALL_GROUP = 50_000
+
+
+def _bucket(value: str) -> Column:
+    """Number of split points below a value, by a coarse and then a fine count."""
+    below = lambda part: F.size(F.filter(part, lambda s: s < F.col(value)))
+    coarse = below(F.transform(F.sequence(F.lit(1), F.lit(COARSE - 1)), lambda i: F.get("_splits", i * COARSE - 1)))
+    fine = below(F.slice("_splits", coarse * COARSE + 1, COARSE))
+    return F.when(F.col("_values") > SMALL_GROUP, coarse * COARSE + fine).otherwise(F.lit(0))
 
 
 def value_ranks(
@@ -33,11 +44,9 @@ def value_ranks(
     )
     grid = [i / SPLITS for i in range(1, SPLITS)]
     splits = folded.groupBy(*by).agg(
-        F.percentile_approx(value, grid, 1000).alias("_splits")
+        F.percentile_approx(value, grid, 1000).alias("_splits"), F.count(F.lit(1)).alias("_values")
     )
-    keyed = _join(folded, splits, by).withColumn(
-        "_bucket", F.size(F.filter("_splits", lambda s: s < F.col(value)))
-    ).drop("_splits")
+    keyed = _join(folded, splits, by).withColumn("_bucket", _bucket(value)).drop("_splits", "_values")
     buckets = keyed.groupBy(*by, "_bucket").agg(F.sum("n").alias("_in_bucket"))
     before = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
@@ -109,44 +118,6 @@ def attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
     ).drop("_one")
 
 
-def running_totals(
-    df: DataFrame, by: Sequence[str], order: str, sums: dict[str, Column]
-) -> DataFrame:
-    """Inclusive running sums in ``order`` (unique per group) with bucketed two-level prefix sums.
-
-    ``order`` must be numeric; each group is cut at sketched split points so that no
-    group is sorted in a single task.  Adds one column per entry of ``sums``.
-    """
-    by = list(by)
-    grid = [i / SPLITS for i in range(1, SPLITS)]
-    splits = df.groupBy(*by).agg(F.percentile_approx(order, grid, 1000).alias("_splits"))
-    keyed = _join(df, splits, by).withColumn(
-        "_bucket", F.size(F.filter("_splits", lambda s: s < F.col(order)))
-    ).drop("_splits")
-    totals = keyed.groupBy(*by, "_bucket").agg(
-        *[F.sum(c).alias(f"_t_{k}") for k, c in sums.items()]
-    )
-    before = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
-        *by,
-        "_bucket",
-        *[
-            F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}")
-            for k in sums
-        ],
-    )
-    inside = (
-        W.partitionBy(*by, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    )
-    out = keyed
-    for k, c in sums.items():
-        out = out.withColumn(f"_i_{k}", F.sum(c).over(inside))
-    out = out.join(offsets, [*by, "_bucket"])
-    for k in sums:
-        out = out.withColumn(k, F.col(f"_i_{k}") + F.col(f"_o_{k}"))
-    return out.drop("_bucket", *[f"_i_{k}" for k in sums], *[f"_o_{k}" for k in sums])
-
-
 def positions(
     df: DataFrame, by: Sequence[str], value: str, key: str, name: str = "position", descending: bool = False
 ) -> DataFrame:
