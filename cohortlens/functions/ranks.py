@@ -69,11 +69,11 @@ def value_ranks(
 
 
 def _join(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """Equi-join on ``by``; without keys ``right`` is a single aggregated row."""
+    """Equi-join on ``by``; without keys ``right`` is a single aggregated row, and is broadcast."""
     if by:
         return left.join(right, by)
     return left.withColumn("_one", F.lit(1)).join(
-        right.withColumn("_one", F.lit(1)), "_one"
+        F.broadcast(right.withColumn("_one", F.lit(1))), "_one"
     ).drop("_one")
 
 
@@ -109,12 +109,12 @@ def grouped_median(df: DataFrame, by: Sequence[str], value: str, name: str) -> D
 
 
 def attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left-join group statistics back to rows; a keyless statistic is one row."""
+    """Left-join group statistics back to rows; a keyless statistic is one row, and is broadcast."""
     by = list(by)
     if by:
         return df.join(stats, by, "left")
     return df.withColumn("_one", F.lit(1)).join(
-        stats.withColumn("_one", F.lit(1)), "_one", "left"
+        F.broadcast(stats.withColumn("_one", F.lit(1))), "_one", "left"
     ).drop("_one")
 
 

@@ -9,8 +9,14 @@ import pandas as pd
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
-_erfc = np.vectorize(math.erfc, otypes=[float])
+
+def _lgamma(x):
+    return np.vectorize(math.lgamma, otypes=[float])(x)
+
+
+def _erfc(x):
+    return np.vectorize(math.erfc, otypes=[float])(x)
+
 
 EXACT_WILCOXON_MAX = 50
 EXACT_MANN_WHITNEY_MAX = 8

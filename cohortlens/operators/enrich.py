@@ -194,7 +194,7 @@ def gsva(pb: DataFrame, sample: str, net: DataFrame, min_size: int = 10, max_siz
     )
 
     def kernel(it):
-        erf = np.vectorize(math.erf, otypes=[float])
+        erf = np.vectorize(math.erf, otypes=[float])  # built in the task: a used ufunc cannot be pickled
         for pdf in it:
             out = []
             for x in pdf["x"]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import checks
 from ..functions.fdr import bh_fdr
 from ..operators import compare as j
-from ..operators import quality as q
+from ..plans.study import eligible_composition
 from . import bindings as b
 from .bindings import with_sql
 from .data_checks import SAMPLES_SQL, samples
@@ -290,9 +290,9 @@ def j12_effects(spark, sf):
     "j14_select_reference",
     with_sql("cells", extra=COUNTS_SQL)
     + """, c AS (SELECT cell_type, AVG((n > 0)::INT) AS presence, AVG(share) AS ab, var_pop(clr) AS v, stddev_pop(share) / AVG(share) AS cv FROM sh GROUP BY 1),
-    e AS (SELECT *, presence >= 0.95 AND ab >= 0.05 AS eligible FROM c)
+    e AS (SELECT *, CASE WHEN bool_or(presence >= 0.95 AND ab >= 0.05) OVER () THEN presence >= 0.95 AND ab >= 0.05 ELSE presence >= 0.95 END AS eligible FROM c)
     SELECT cell_type, round(presence, 6) AS presence, round(ab, 6) AS mean_abundance, round(v, 6) AS clr_variance, round(cv, 6) AS abundance_cv, eligible,
-    cell_type = (SELECT arg_min(cell_type, v) FROM e WHERE eligible) AS selected FROM e""",
+    COALESCE(cell_type = (SELECT arg_min(cell_type, v) FROM e WHERE eligible), FALSE) AS selected FROM e""",
 )
 def j14(spark, sf):
     out = j.select_reference(type_counts(spark, sf), ["donor", "condition"], "cell_type")
@@ -410,7 +410,7 @@ def price_arms(spark, sf):
 @query(
     "j20_donor_effect",
     with_sql("cells", extra=paired_sql("p", "cells", "cell_type", "price"))
-    + f"""SELECT cell_type, 'paired_t' AS test, n_pairs, n_pairs AS n_case, n_pairs AS n_control, round(delta, 4) AS effect, round(t, 6) AS t, round({t_two_sided_sql('t', 'df')}, 6) AS p, '' AS reason FROM p""",
+    + f"""SELECT cell_type, 'paired_t' AS test, n_pairs, (SELECT COUNT(a) FROM p_w w WHERE w.cell_type = p.cell_type) AS n_case, (SELECT COUNT(k) FROM p_w w WHERE w.cell_type = p.cell_type) AS n_control, round(delta, 4) AS effect, round(t, 6) AS t, round({t_two_sided_sql('t', 'df')}, 6) AS p, '' AS reason FROM p""",
 )
 def j20(spark, sf):
     out = j.donor_effect(price_arms(spark, sf), ["cell_type"]).drop("ci_low", "ci_high")
@@ -656,7 +656,5 @@ def k2(spark, sf):
 )
 def flagship(spark, sf):
     """Metrics → severities → verdicts → eligibility → zero-filled counts → paired proportion test → FDR."""
-    eligible = verdicts(spark, sf).filter(F.col("qc_inference_composition") & F.col("condition").isin("F", "O"))
-    counts = j.celltype_counts(eligible, ["donor", "condition"], "cell_type")
-    out = j.proportion_ttest(counts, "cell_type", "donor", "condition", **ARMS)
+    out = eligible_composition(verdicts(spark, sf), "cell_type", "donor", "condition", **ARMS)
     return r(out, "mean_case", "mean_control", "t", "effect_pp", "p", "fdr")

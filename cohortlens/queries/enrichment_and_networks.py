@@ -71,7 +71,7 @@ def l4(spark, sf):
     with_sql("net", extra=DE + ",\n" + ES_SQL) + "SELECT source, k AS set_size, round(es, 9) AS es FROM es",
 )
 def l4_scores(spark, sf):
-    out = e.gsea(e.de_ranking(de_table(spark, sf)), b.net(spark, sf), n_perm=5, max_size=100_000)
+    out = e.gsea(e.de_ranking(de_table(spark, sf)), b.net(spark, sf), n_perm=5, min_size=1, max_size=100_000)
     return r(out.select("source", "set_size", "es"), "es", places=9)
 
 

@@ -163,7 +163,7 @@ def g7(spark, sf):
     "g8_triage_populations",
     with_sql("cells")
     + """, k AS (SELECT concat(library, label2) AS label, donor, condition FROM cells), d AS (SELECT label, donor, COUNT(*) AS n FROM k GROUP BY 1, 2),
-    e AS (SELECT label, SUM(n) AS nc, COUNT(*) AS nd, MAX(n) / SUM(n) AS f FROM d GROUP BY 1), c AS (SELECT label, AVG((condition = 'P')::INT) - (SELECT AVG((condition = 'P')::INT) FROM k) AS ce FROM k GROUP BY 1)
+    e AS (SELECT label, SUM(n) AS nc, COUNT(*) AS nd, MAX(n) / SUM(n) AS f FROM d GROUP BY 1), rf AS (SELECT condition AS ref FROM k GROUP BY 1 ORDER BY COUNT(*) DESC, condition DESC LIMIT 1), c AS (SELECT label, AVG((condition = ref)::INT) - (SELECT AVG((condition = ref)::INT) FROM k, rf) AS ce FROM k, rf GROUP BY 1)
     SELECT label, CAST(nc AS BIGINT) AS n_cells, nd AS n_donors, round(f, 9) AS dominant_donor_frac, round(ce, 9) AS condition_enrichment, CASE WHEN nc < 420 OR nd < 3 THEN 'noise' WHEN f >= 0.055 THEN 'single_donor_artifact' ELSE 'candidate' END AS category FROM e JOIN c USING (label)""",
 )
 def g8(spark, sf):
@@ -237,7 +237,7 @@ def votes(spark, sf):
     """Four votes per line, one of them often missing."""
     li = b.table(spark, sf, "lineitem")
     return li.select(
-        F.concat_ws(":", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("cell"),
+        F.concat_ws(":", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("long"), F.round(F.col("l_extendedprice") * 100).cast("long")).alias("cell"),
         F.col("l_returnflag").alias("v1"),
         F.when(F.col("l_tax") > 0.02, F.col("l_linestatus")).otherwise("nan").alias("v2"),
         F.when(F.col("l_discount") > 0.04, "A").otherwise("N").alias("v3"),
@@ -247,7 +247,7 @@ def votes(spark, sf):
 
 @query(
     "h4_consensus_labels",
-    """WITH l AS (SELECT concat_ws(':', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS cell, l_returnflag AS v1, CASE WHEN l_tax > 0.02 THEN CASE l_linestatus WHEN 'F' THEN 'A' WHEN 'O' THEN 'N' END END AS v2,
+    """WITH l AS (SELECT concat_ws(':', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT)) AS cell, l_returnflag AS v1, CASE WHEN l_tax > 0.02 THEN CASE l_linestatus WHEN 'F' THEN 'A' WHEN 'O' THEN 'N' END END AS v2,
       CASE WHEN l_discount > 0.04 THEN 'A' ELSE 'N' END AS v3, CASE WHEN l_quantity > 30 THEN 'R' WHEN l_quantity > 5 THEN 'none' END AS v4 FROM lineitem),
     u AS (SELECT cell, 1 AS pos, v1 AS v FROM l UNION ALL SELECT cell, 2, v2 FROM l UNION ALL SELECT cell, 3, v3 FROM l UNION ALL SELECT cell, 4, v4 FROM l),
     k AS (SELECT cell, v, COUNT(*) AS n, MIN(pos) AS first FROM u WHERE v IS NOT NULL GROUP BY 1, 2),
