@@ -170,16 +170,19 @@ def cap_edges(edges: DataFrame, modules: DataFrame, max_edges: int) -> DataFrame
     m1 = modules.select(F.col("gene").alias("gene1"), F.col("module").alias("_m1"))
     m2 = modules.select(F.col("gene").alias("gene2"), F.col("module").alias("_m2"))
     e = edges.join(m1, "gene1").join(m2, "gene2").withColumn("_unit", F.when(F.col("_m1") == F.col("_m2"), F.col("_m1")))
-    n = e.select(F.col("_m1").alias("m")).unionByName(e.select(F.col("_m2").alias("m"))).agg(F.greatest(F.count_distinct("m"), F.lit(1)).alias("_k"))
+    e = materialise(e.select("gene1", "gene2", "weight", "_m1", "_m2", "_unit"), "edges")
+    k = max(1, e.select(F.explode(F.array("_m1", "_m2")).alias("m")).agg(F.count_distinct("m")).first()[0])
     strongest = [F.col("weight").desc(), F.col("gene1"), F.col("gene2")]
-    e = attach(e, n, []).withColumn("_r", F.row_number().over(W.partitionBy("_unit").orderBy(*strongest)))
-    quota = F.when(F.col("_unit").isNotNull(), F.greatest(F.lit(1), F.floor(F.lit(max_edges) / (3 * F.col("_k"))))).otherwise(
-        F.greatest(F.lit(1), F.floor(F.lit(max_edges) / 4))
+    own = ["gene1", "gene2", "weight"]
+    # each selection keeps its n strongest edges on the map side; no unit is sorted whole
+    order = W.partitionBy("_unit").orderBy(*strongest)
+    inside = e.filter(F.col("_unit").isNotNull()).withColumn("_r", F.row_number().over(order)).filter(
+        F.col("_r") <= max(1, max_edges // (3 * k))
     )
-    e = e.withColumn("_sure", F.col("_r") <= quota)
-    # guaranteed edges come first, then leftovers by weight; the cap cuts the joint order
-    joint = W.partitionBy(F.lit(0)).orderBy(F.col("_sure").desc(), *strongest)
-    return e.withColumn("_q", F.row_number().over(joint)).filter(F.col("_q") <= max_edges).select("gene1", "gene2", "weight")
+    across = e.filter(F.col("_unit").isNull()).orderBy(*strongest).limit(max(1, max_edges // 4))
+    sure = materialise(inside.select(*own).unionByName(across.select(*own)).withColumn("_sure", F.lit(1)), "sure")
+    rest = e.select(*own).join(sure.select("gene1", "gene2"), ["gene1", "gene2"], "left_anti").orderBy(*strongest).limit(max_edges)
+    return sure.unionByName(rest.withColumn("_sure", F.lit(0))).orderBy(F.col("_sure").desc(), *strongest).limit(max_edges).select(*own)
 
 
 def detection_log_dor(counts: DataFrame, cells: DataFrame, group: str) -> DataFrame:

@@ -523,6 +523,19 @@ def pc_regression(embedding: DataFrame, batch: DataFrame) -> DataFrame:
     return d.agg((F.sum("between") / F.sum("tot")).alias("pcr"))
 
 
+def silhouette(embedding: DataFrame, labels: DataFrame) -> float:
+    """Mean silhouette of labels on squared distances, from per-label sums."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    ids = {v: float(i) for i, v in enumerate(bounded_levels(labels, "label"))}
+    code = F.create_map(*[F.lit(x) for kv in ids.items() for x in kv])
+    data = embedding.select("cell", "vec").join(labels.select("cell", "label"), "cell").select(
+        array_to_vector(F.col("vec").cast("array<double>")).alias("features"), F.element_at(code, F.col("label")).alias("prediction")
+    )
+    return float(ClusteringEvaluator().evaluate(data))
+
+
 def integration_metrics(embeddings: dict[str, DataFrame], batch: DataFrame, label: DataFrame, k: int = 15, alpha: float = 0.05) -> DataFrame:
     """Mixing and conservation scores of each embedding and their weighted rank."""
     from ..functions import tails
@@ -536,9 +549,11 @@ def integration_metrics(embeddings: dict[str, DataFrame], batch: DataFrame, labe
         kb = batch_rejection(nb, batch).agg((1 - F.avg((tails.chi2_sf("chi2", "df") < alpha).cast("double"))).alias("kbet"))
         pc = pc_regression(emb, batch)
         tr = transfer_labels(nb, label).select("cell", F.col("label").alias("_l")).join(label.select("cell", F.col("label").alias("_t")), "cell").agg(F.avg((F.col("_l") == F.col("_t")).cast("double")).alias("label_agreement"))
-        row = attach(attach(attach(attach(il, cl, []), kb, []), pc, []), tr, []).withColumn("embedding", F.lit(name))
+        row = attach(attach(attach(attach(il, cl, []), kb, []), pc, []), tr, []).withColumns(
+            {"embedding": F.lit(name), "label_silhouette": F.lit((silhouette(emb, label) + 1) / 2)}
+        )
         rows = row if rows is None else rows.unionByName(row)
-    score = 0.4 * (F.col("ilisi") + F.col("kbet") + (1 - F.col("pcr"))) / 3 + 0.6 * (F.col("clisi") + F.col("label_agreement")) / 2
+    score = 0.4 * (F.col("ilisi") + F.col("kbet") + (1 - F.col("pcr"))) / 3 + 0.6 * (F.col("clisi") + F.col("label_agreement") + F.col("label_silhouette")) / 3
     return rows.withColumn("total", score).withColumn("rank", F.rank().over(W.partitionBy(F.lit(0)).orderBy(F.col("total").desc())))
 
 

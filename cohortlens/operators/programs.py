@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from ..functions import tails
 from ..functions.fdr import bh_small
 from ..functions.levels import bounded_levels, with_levels
-from ..functions.ranks import attach
+from ..functions.ranks import attach, value_ranks
 from ..session import materialise
 
 
@@ -25,9 +25,11 @@ def gene_bins(layer: DataFrame, cells: DataFrame, n_bins: int = 25) -> DataFrame
     means = attach(layer.groupBy("gene").agg(F.sum("value").alias("_s")), n, []).select(
         "gene", (F.col("_s") / F.col("_n")).alias("mean")
     )
-    whole = W.partitionBy(F.lit(0))
-    per_bin = F.greatest(F.lit(1), F.round(F.count(F.lit(1)).over(whole) / F.lit(n_bins - 1)))
-    return means.withColumn("bin", F.floor(F.rank().over(whole.orderBy("mean")) / per_bin).cast("int"))
+    means = materialise(means, "means")
+    # minimum rank of tied means is one more than the number of smaller ones
+    ranks = value_ranks(means, [], "mean").select("mean", "below", "total")
+    per_bin = F.greatest(F.lit(1), F.round(F.col("total") / F.lit(n_bins - 1)))
+    return means.join(ranks, "mean").select("gene", "mean", F.floor((F.col("below") + 1) / per_bin).cast("int").alias("bin"))
 
 
 def control_genes(net: DataFrame, bins: DataFrame, n_controls: int = 50, seed: int = 0) -> DataFrame:
