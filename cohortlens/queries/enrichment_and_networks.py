@@ -268,14 +268,22 @@ def m1(spark, sf):
     return r(r(out, "ligand_mean", "receptor_mean", "ligand_fraction", "receptor_fraction", "magnitude"), "specificity", places=5)
 
 
-@query("m1_rank_aggregate")
+def _rank_sql(c: str) -> str:
+    return f"(rank() OVER (PARTITION BY donor ORDER BY {c} DESC) + (COUNT(*) OVER (PARTITION BY donor, {c}) - 1) / 2.0) / COUNT(*) OVER (PARTITION BY donor)"
+
+
+RANKED_SQL = LR_SQL + f", lk AS (SELECT *, ({_rank_sql('magnitude')} + {_rank_sql('specificity')}) / 2 AS mr FROM lr) "
+
+
+@query("m1_rank_aggregate", RANKED_SQL + "SELECT donor, source, target, ligand, receptor, round(mr, 6) AS magnitude_rank FROM lk")
 def m1_rank(spark, sf):
-    return m.rank_aggregate(lr_table(spark, sf), "donor")
+    out = m.rank_aggregate(lr_table(spark, sf), "donor")
+    return r(out.select("donor", "source", "target", "ligand", "receptor", "magnitude_rank"), "magnitude_rank")
 
 
-@query("m2_lr_to_canonical")
+@query("m2_lr_to_canonical", RANKED_SQL + "SELECT source, target, ligand, receptor, round(1 - mr, 6) AS weight, donor AS sample FROM lk")
 def m2(spark, sf):
-    return m.lr_to_canonical(m.rank_aggregate(lr_table(spark, sf), "donor"), "donor")
+    return r(m.lr_to_canonical(m.rank_aggregate(lr_table(spark, sf), "donor"), "donor"), "weight")
 
 
 def trade(spark, sf):
@@ -425,10 +433,16 @@ def m9(spark, sf):
     return r(m.topology(m.cci_edges(canonical(spark, sf))), "Listener", "Influencer", "Pagerank")
 
 
-@query("m9_topology_difference")
+@query(
+    "m9_topology_difference",
+    "WITH RECURSIVE " + TRADE + """, ca AS (SELECT source AS src, target AS dst, SUM(weight) AS weight FROM tr WHERE sample = 'F' GROUP BY 1, 2), co AS (SELECT source AS src, target AS dst, SUM(weight) AS weight FROM tr WHERE sample = 'O' GROUP BY 1, 2),
+    df AS (SELECT src, dst, COALESCE(ca.weight, 0) - COALESCE(co.weight, 0) AS weight FROM ca FULL JOIN co USING (src, dst)), """ + pagerank_sql("ca", "a_") + ", " + pagerank_sql("co", "b_") + ", " + DEG.format("df")
+    + """ SELECT node, round(COALESCE(i, 0), 6) AS "Listener", round(COALESCE(o, 0), 6) AS "Influencer", round(ln((COALESCE(a_pr.r, 0) + 0.01) / (COALESCE(b_pr.r, 0) + 0.01)), 6) AS "Pagerank" FROM dg FULL JOIN a_pr USING (node) FULL JOIN b_pr USING (node)""",
+)
 def m9_diff(spark, sf):
     lr = canonical(spark, sf)
-    return m.topology_difference(m.cci_edges(lr.filter("sample = 'F'")), m.cci_edges(lr.filter("sample = 'O'")))
+    out = m.topology_difference(m.cci_edges(lr.filter("sample = 'F'")), m.cci_edges(lr.filter("sample = 'O'")))
+    return r(out, "Listener", "Influencer", "Pagerank")
 
 
 @query(
@@ -537,12 +551,21 @@ def n4(spark, sf):
     return r(n.detection_log_dor(b.dense_counts(spark, sf), b.dense_cells(spark, sf), "cell_type"), "log_dor")
 
 
-@query("n5_community_relevance")
+@query(
+    "n5_community_relevance",
+    with_sql("counts", "cells", "genes").replace("WITH ", "WITH RECURSIVE ", 1) + ", " + CHAIN
+    + """, ins AS (SELECT m1 AS c, gene1 AS src, gene2 AS dst, weight FROM ch WHERE m1 = m2), bo AS (SELECT * FROM ins UNION ALL SELECT c, dst, src, weight FROM ins), nd AS (SELECT type AS c, gene AS node FROM genes WHERE gene IN (SELECT gene1 FROM ch UNION SELECT gene2 FROM ch)), nn AS (SELECT c, COUNT(*)::DOUBLE AS n FROM nd GROUP BY 1),
+    lk AS (SELECT c, src, dst, weight / SUM(weight) OVER (PARTITION BY c, src) AS p FROM bo UNION ALL SELECT c, node, node, 0.0 FROM nd),
+    it AS (SELECT 0 AS i, c, node, 1.0 / n AS r FROM nd JOIN nn USING (c) UNION ALL SELECT i + 1, lk.c, dst, 0.15 / ANY_VALUE(n) + 0.85 * SUM(p * r) FROM it JOIN lk ON lk.c = it.c AND src = node JOIN nn ON nn.c = lk.c WHERE i < 120 GROUP BY i, lk.c, dst), pr AS (SELECT c, node, r / SUM(r) OVER (PARTITION BY c) AS r FROM it WHERE i = 120),
+    sz AS (SELECT cell_type, COUNT(*) AS ng FROM cells GROUP BY 1), tp AS (SELECT gene, cell_type, COUNT(*) AS tp FROM counts JOIN cells USING (cell) WHERE value > 0 GROUP BY 1, 2), tt AS (SELECT gene, SUM(tp) AS t FROM tp GROUP BY 1),
+    g AS (SELECT tt.gene, sz.cell_type, COALESCE(tp, 0) AS tp, t, ng, (SELECT COUNT(*) FROM cells) AS n FROM tt CROSS JOIN sz LEFT JOIN tp ON tp.gene = tt.gene AND tp.cell_type = sz.cell_type), dr AS (SELECT gene, cell_type, ln(((tp + 0.5) / (t - tp + 0.5)) / ((ng - tp + 0.5) / (n - ng - (t - tp) + 0.5))) AS d FROM g),
+    sc AS (SELECT c, cell_type, SUM(r * d) AS s FROM pr JOIN dr ON gene = node GROUP BY 1, 2) SELECT c AS community, cell_type AS "group", round((s - AVG(s) OVER (PARTITION BY c)) / stddev_pop(s) OVER (PARTITION BY c), 4) AS z_score FROM sc""",
+)
 def n5(spark, sf):
     edges = chain_edges(spark, sf).select(F.col("gene1").alias("src"), F.col("gene2").alias("dst"), "weight")
     communities = b.genes(spark, sf).select("gene", F.col("type").alias("community"))
     dor = n.detection_log_dor(b.counts(spark, sf), b.cells(spark, sf), "cell_type")
-    return n.community_relevance(edges, communities, dor)
+    return r(n.community_relevance(edges, communities, dor), "z_score", places=4)
 
 
 @query(

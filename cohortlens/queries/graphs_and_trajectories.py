@@ -213,11 +213,20 @@ def c23(spark, sf):
     return r(k.neighborhood_entropy(nearest(spark, sf), b.embedding(spark, sf)), "label_entropy", "effective_labels")
 
 
-@query("h9_refine_labels")
+@query(
+    "h9_refine_labels",
+    GRAPH_SQL
+    + """, gp AS (SELECT cell, CASE WHEN i < 2 THEN 'CD4' WHEN i < 4 THEN 'CD8' ELSE 'NK' END AS g, SUM(vec[i + 1]::DOUBLE) / 2 AS v FROM emb, range(0, 6) g(i) WHERE vec[i + 1] > 0 GROUP BY 1, 2), pw AS (SELECT src, dst, weight / SUM(weight) OVER (PARTITION BY src) AS p FROM ed),
+    s1 AS (SELECT src AS cell, g, SUM(p * v) AS v FROM pw JOIN gp ON gp.cell = dst GROUP BY 1, 2), s2 AS (SELECT src AS cell, g, SUM(p * v) AS v FROM pw JOIN s1 ON s1.cell = dst GROUP BY 1, 2), e0 AS (SELECT cell, g, SUM(v) / 2 AS e FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2) GROUP BY 1, 2),
+    w AS (SELECT emb.cell, COALESCE(MAX(e) FILTER (g = 'CD4'), 0) AS "CD4", COALESCE(MAX(e) FILTER (g = 'CD8'), 0) AS "CD8", COALESCE(MAX(e) FILTER (g = 'NK'), 0) AS "NK" FROM emb LEFT JOIN e0 USING (cell) GROUP BY 1),
+    k AS (SELECT *, GREATEST("CD4", "CD8", "NK") AS t, "CD4" + "CD8" + "NK" - GREATEST("CD4", "CD8", "NK") - LEAST("CD4", "CD8", "NK") AS s FROM w)
+    SELECT cell, round("CD4", 6) AS "CD4", round("CD8", 6) AS "CD8", round("NK", 6) AS "NK", CASE WHEN t < 0.03 OR t - s < 0.005 THEN 'Unassigned' WHEN "CD4" = t THEN 'CD4' WHEN "CD8" = t THEN 'CD8' ELSE 'NK' END AS call, CASE WHEN t < 0.03 THEN 'weak_evidence' WHEN t - s < 0.005 THEN 'close_call' ELSE '' END AS reason FROM k""",
+)
 def h9(spark, sf):
     e = b.embedding(spark, sf)
     groups = spark.createDataFrame([("CD4", "d0"), ("CD4", "d1"), ("CD8", "d2"), ("CD8", "d3"), ("NK", "d4"), ("NK", "d5")], "source string, target string")
-    return k.refine_labels(k.knn_graph(nearest(spark, sf)), vector_layer(spark, sf), groups, e, {"CD4": 0.03, "CD8": 0.03, "NK": 0.03}, 0.005)
+    out = k.refine_labels(k.knn_graph(nearest(spark, sf)), vector_layer(spark, sf), groups, e, {"CD4": 0.03, "CD8": 0.03, "NK": 0.03}, 0.005)
+    return r(out, "CD4", "CD8", "NK")
 
 
 @query(
