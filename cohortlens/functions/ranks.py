@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import materialise
+
 COARSE = 7
 SPLITS = COARSE * COARSE
 # groups with fewer distinct values are sorted in one piece
@@ -127,7 +129,7 @@ def positions(
     same way over the hash of its keys.
     """
     by = list(by)
-    signed = df.filter(F.col(value).isNotNull()).withColumn(
+    signed = materialise(df.filter(F.col(value).isNotNull()), "ordered").withColumn(
         "_v", (-F.col(value) if descending else F.col(value)).cast("double")
     ).withColumn("_h", F.xxhash64(key))
     outer = value_ranks(signed, by, "_v").select(
