@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, fixity, mixing, secret_scan, url_cascade
+from . import bpe, fingerprint, fixity, jaccard_join, mixing, secret_scan, toxicity, url_cascade
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,41 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return url_cascade.judge_urls(pages, URL_RULES, listed).drop("url")
 
 
+OP3_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i+3], ' ') for i in range(1, len(w) - 2)]) END AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.t = b.t AND a.doc_id < b.doc_id
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, c.m AS component_id FROM s JOIN (SELECT a, min(b) AS m FROM r GROUP BY a) c ON c.a = s.doc_id"""
+
+
+@query("op3_jaccard_join", OP3_SQL)
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf, "documents"))
+
+
+def vocabulary(spark: SparkSession, name: str = "byte_bpe_multi_50k.tiktoken") -> bpe.Bpe:
+    import public_tokenizers
+
+    return bpe.Bpe(spark, public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return vocabulary(spark).round_trip(table(spark, sf, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query("op6_mix_sources")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf, "documents"), keep=["doc_id"])
