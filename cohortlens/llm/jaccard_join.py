@@ -9,6 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.session import materialise
 
@@ -53,7 +54,7 @@ def prefix(tokens: np.ndarray, order: int, n_prefix: int, frequent: tuple[np.nda
     if not len(tokens):
         return tokens
     values, classes = frequent
-    rank = _mix(tokens ^ (np.uint64(order + 1) * np.uint64(0xD6E8FEB86659FD93 >> 1))) >> np.uint64(6)
+    rank = _mix(tokens ^ np.uint64((order + 1) * 0x6B747F5C332CFEC9 % 2**64)) >> np.uint64(6)
     if len(values):
         at = np.minimum(np.searchsorted(values, tokens), len(values) - 1)
         rank |= np.where(values[at] == tokens, classes[at], 0).astype(np.uint64) << np.uint64(58)
@@ -140,7 +141,7 @@ def _profiles(docs: DataFrame, text: str, size: int, num: int, den: int, shared)
     return docs.select("node", "_text").mapInPandas(run, schema)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _common(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(
         [

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, fixity, jaccard_join, mixing, secret_scan, toxicity, url_cascade
+from . import bpe, embedding_dedup, fingerprint, fixity, jaccard_join, mixing, secret_scan, toxicity, url_cascade
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,19 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf, "documents"), keep=["doc_id"])
 
 
+OP7_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS m FROM r GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links, m AS component_id, vec_id = m AS kept FROM v JOIN c ON c.a = vec_id"""
+
+
+@query("op7_subspace_pigeonhole", OP7_SQL)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_dedup.embedding_classes(table(spark, sf, "embeddings"))
+
+
 OP9_SQL = """
 WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
 w AS (SELECT page_id, html, octet_length(encode(concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10),
