@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, fingerprint, fixity, jaccard_join, mixing, secret_scan, toxicity, url_cascade
+from . import bpe, chaining, embedding_dedup, fingerprint, fixity, jaccard_join, mixing, secret_scan, toxicity, url_cascade
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,11 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return embedding_dedup.embedding_classes(table(spark, sf, "embeddings"))
 
 
+@query("op8_passage_chaining")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return chaining.repeated_passages(table(spark, sf, "documents"))
+
+
 OP9_SQL = """
 WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
 w AS (SELECT page_id, html, octet_length(encode(concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10),

@@ -15,9 +15,12 @@ from cohortlens.session import materialise
 
 #: Labelled rows the lexicon and the classifier are learned from, at most (least hashes of ids first).
 MAX_LABELLED = 50_000
-#: Lexicon entries, lexicon voters, and what an entry needs: toxic texts with it, their share, its z-score.
-MAX_LEXICON, LEXICON_VOTERS = 1024, 48
-MIN_TEXTS, MIN_SHARE, MIN_Z = 6, 0.8, 5.0
+#: Lexicon entries, lexicon voters they are dealt to in turn, and what an entry needs: the share of toxic
+#: texts among those with it, and the chance (of any entry at all) to get that far by luck.
+MAX_LEXICON, LEXICON_VOTERS = 1024, 24
+MIN_SHARE, LUCK = 0.9, 0.05
+#: No voter is trusted to err on fewer clean texts than this share.
+CLEAN_RATE = 0.01
 THRESHOLD = 0.3
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -84,8 +87,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, id: str, text: str) -> DataFra
     return materialise(one.orderBy(F.xxhash64(id), id).limit(MAX_LABELLED), "labelled")
 
 
-def _lexicon(texts: DataFrame, text: str) -> tuple[dict[str, int], float, list[int]]:
-    """Entries that mark toxic texts, by z-score; the toxic share; and the voters' entries."""
+def _lexicon(texts: DataFrame, text: str) -> tuple[dict[str, int], float]:
+    """Entries that mark toxic texts, strongest first, and the toxic share."""
 
     def count(batches):
         toxic, clean = Counter(), Counter()
@@ -98,21 +101,19 @@ def _lexicon(texts: DataFrame, text: str) -> tuple[dict[str, int], float, list[i
         yield _counts(toxic, clean)
 
     per = texts.select(text, "_toxic").mapInPandas(count, "entry string, toxic long, clean long")
-    sums = per.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    sums = materialise(per.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "entries")
     n = texts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_toxic"), F.lit(0)).alias("y")).first()
     if not n.y or n.y == n.n:
-        return {}, 0.0, []
+        return {}, 0.0
     share = n.y / n.n
     all_ = F.col("toxic") + F.col("clean")
-    z = (F.col("toxic") - all_ * share) / F.sqrt(all_ * share * (1 - share))
-    best = (
-        sums.filter((F.col("toxic") >= MIN_TEXTS) & (F.col("toxic") / all_ >= MIN_SHARE) & (z >= MIN_Z))
-        .orderBy(z.desc(), "entry")
-        .limit(MAX_LEXICON)
-        .collect()
-    )
-    lexicon = {r.entry: i for i, r in enumerate(best)}
-    return lexicon, share, list(range(min(LEXICON_VOTERS, len(best))))
+    f = F.col("toxic") / all_
+    # Chernoff bound of drawing that many toxic texts, against the number of entries looked at
+    other = F.when(f < 1, (1 - f) * F.log((1 - f) / (1 - share))).otherwise(0.0)
+    strength = all_ * (f * F.log(f / share) + other)
+    enough = float(np.log(max(1, sums.count()) / LUCK))
+    best = sums.filter((f >= MIN_SHARE) & (strength >= enough)).orderBy(strength.desc(), "entry").limit(MAX_LEXICON).collect()
+    return {r.entry: i for i, r in enumerate(best)}, share
 
 
 def _counts(toxic: Counter, clean: Counter) -> pd.DataFrame:
@@ -122,17 +123,22 @@ def _counts(toxic: Counter, clean: Counter) -> pd.DataFrame:
     )
 
 
-def _moments(shown: DataFrame, voters: list[int]) -> tuple[int, np.ndarray]:
+def voters_of(size: int) -> np.ndarray:
+    """Voter of each lexicon entry (dealt in turn, so each voter has words of all kinds) and pattern."""
+    n = min(LEXICON_VOTERS, size)
+    return np.concatenate([np.arange(size) % max(1, n), n + np.arange(len(PATTERNS))]).astype(int)
+
+
+def _moments(shown: DataFrame, voter: np.ndarray) -> tuple[int, np.ndarray]:
     """Number of texts and second moments of the votes over all of them, added up by Spark."""
-    place = {v: i for i, v in enumerate(voters)}
-    k = len(voters)
+    k = int(voter.max()) + 1
 
     def add(batches):
         total, n = np.zeros((k, k)), 0
         for pdf in batches:
             votes = np.zeros((len(pdf), k))
             for r, idx in enumerate(pdf["active"]):
-                votes[r, [place[i] for i in idx if i in place]] = 1
+                votes[r, voter[idx]] = 1
             total += votes.T @ votes
             n += len(pdf)
         i, j = np.divmod(np.arange(k * k), k)
@@ -166,7 +172,7 @@ def label_model(n: int, moments: np.ndarray, share: float) -> tuple[np.ndarray,
         lead = vectors[:, -1] * np.sqrt(max(values[-1], 0) / q)
         diff = lead if lead.sum() >= 0 else -lead
         toxic = np.clip(mean + (1 - share) * diff, 1e-4, 1 - 1e-4)
-        clean = np.clip(mean - share * diff, 1e-4, 1 - 1e-4)
+        clean = np.clip(mean - share * diff, CLEAN_RATE, 1 - 1e-4)
         spread = np.sqrt(share * toxic * (1 - toxic) + (1 - share) * clean * (1 - clean))
         rho = (cov - q * np.outer(diff, diff)) / np.outer(spread, spread)
         np.fill_diagonal(rho, 0)
@@ -195,7 +201,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: s
     """The fitted model, and ``id, active`` for every row of ``docs``.
 
     The lexicon is learned from at most ``MAX_LABELLED`` labelled rows that are not held out, each
-    distinct text once. Its best entries and the patterns are voters; their votes are counted over
+    distinct text once. Its entries, dealt to some voters, and the patterns vote; votes are counted over
     all texts, and the label model gives each text of the sample a posterior. The classifier is
     trained on those posteriors, over all entries and patterns. Labels of unknown ids, null labels
     and repeated labels (the largest counts) do no harm; without toxic labels scores are near 0.
@@ -204,25 +210,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: s
     sample = _labelled(docs, labels.select(id, "toxic"), id, text)
     # at most MAX_LABELLED rows of two numbers
     texts = docs.select(id, text).join(F.broadcast(sample), id)
-    lexicon, share, voters = _lexicon(texts, text)
-    voters += [len(lexicon) + i for i in range(len(PATTERNS))]
+    lexicon, share = _lexicon(texts, text)
     shared = spark.sparkContext.broadcast(lexicon)
-    find = F.pandas_udf(active_run(shared), "array<int>")
-    shown = materialise(docs.select(id, find(text).alias("active")), "active")
-    n, moments = _moments(shown, voters)
-    size = len(lexicon) + len(PATTERNS)
+    shown = materialise(docs.select(id, F.pandas_udf(active_run(shared), "array<int>")(text).alias("active")), "active")
+    size, voter = len(lexicon) + len(PATTERNS), voters_of(len(lexicon))
+    n, moments = _moments(shown, voter)
     if not lexicon or not n:
         return Toxicity(lexicon, np.zeros(size), -6.0, pd.DataFrame()), shown
     toxic, clean, trust = label_model(n, moments, share)
-    evidence = np.zeros(size)
-    evidence[voters] = trust * np.log(toxic / clean)
+    evidence = trust * np.log(toxic / clean)
     prior = np.log(share / (1 - share))
     learn = [list(r.active) for r in shown.join(F.broadcast(sample), id).select("active").collect()]  # bounded as above
-    posterior = np.array([1 / (1 + np.exp(-np.clip(prior + evidence[r].sum(), -30, 30))) for r in learn])
-    weights, bias = _logistic(learn, posterior, size)
-    names = list(lexicon) + [p for p, _ in PATTERNS]
-    table = pd.DataFrame({"voter": [names[i] for i in voters], "on_toxic": toxic, "on_clean": clean, "trust": trust})
-    return Toxicity(lexicon, weights, bias, table), shown
+    logit = np.array([prior + evidence[np.unique(voter[r])].sum() for r in learn])
+    weights, bias = _logistic(learn, 1 / (1 + np.exp(-np.clip(logit, -30, 30))), size)
+    names = [f"lexicon {i}" for i in range(min(LEXICON_VOTERS, len(lexicon)))] + [p for p, _ in PATTERNS]
+    return Toxicity(lexicon, weights, bias, pd.DataFrame({"voter": names, "on_toxic": toxic, "on_clean": clean, "trust": trust})), shown
 
 
 def active_run(shared):
