@@ -136,9 +136,9 @@ class Codec:
             self.words.clear()
             self.known.clear()
         known = self.known
-        new = set().union(*pieces) - known.keys()
+        new = {s for p in pieces for s in p if s not in known}
         split = {s: self.find(s) for s in new}
-        words = set().union(*split.values()) - self.words.keys()
+        words = {w for p in split.values() for w in p if w not in self.words}
         if words:
             self.learn(words)
         for s, w in split.items():

@@ -39,7 +39,7 @@ def shingle_set(text, size: int, known: dict[bytes, int]) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(known) > 400_000:
         known.clear()
-    for w in set(words) - known.keys():
+    for w in {w for w in words if w not in known}:
         known[w] = xxhash.xxh64_intdigest(w)
     h = np.array([known[w] for w in words], dtype=np.uint64)
     k = min(size, len(h))
