@@ -197,12 +197,13 @@ def differential_network(case: DataFrame, control: DataFrame) -> DataFrame:
     ).filter(F.col("weight") != 0).select(*CHANNEL, "weight")
 
 
-def pagerank(edges: DataFrame, by: Sequence[str] = (), max_iter: int = 120, tol: float = 1e-9, nodes: DataFrame | None = None) -> DataFrame:
+def pagerank(edges: DataFrame, by: Sequence[str] = (), max_iter: int = 1000, tol: float = 1e-9, nodes: DataFrame | None = None) -> DataFrame:
     """Weighted PageRank, per group when ``by`` is given.
 
     Dangling mass goes back uniformly, which only rescales the solution of
     ``r = (1-d)/n + d·P r``; so the iteration drops it and the result is normalised.
-    Lineage is cut every few steps and the change is tested there.
+    Lineage is cut every few steps and the change is tested there, relative to a node's even share
+    ``1/n``; if ``max_iter`` steps do not bring it below ``tol`` it raises.
     """
     by = list(by)
     out_w = edges.groupBy(*by, "src").agg(F.sum("weight").alias("_w"))
@@ -221,13 +222,15 @@ def pagerank(edges: DataFrame, by: Sequence[str] = (), max_iter: int = 120, tol:
         rank = base.join(flow, [*by, "node"], "left").withColumn(
             "r", (1 - DAMPING) / F.col("n") + DAMPING * F.coalesce("c", F.lit(0.0))
         ).drop("c")
-        if i % step == 0 or i == max_iter:
+        if i % step == 0:
             rank = cut_lineage(rank)
             if previous is not None:
-                gap = rank.join(previous.select(*by, "node", F.col("r").alias("_o")), [*by, "node"]).agg(F.max(F.abs(F.col("r") - F.col("_o")))).first()[0]
-                if gap is not None and gap < tol:
+                gap = rank.join(previous.select(*by, "node", F.col("r").alias("_o")), [*by, "node"]).agg(F.max(F.abs(F.col("r") - F.col("_o")) * F.col("n"))).first()[0]
+                if gap is None or gap < tol:
                     break
             previous = rank
+    else:
+        raise RuntimeError(f"ranks have not settled after {max_iter} steps")
     total = rank.groupBy(*by).agg(F.sum("r").alias("_t"))
     return attach(rank, total, by).select(*by, "node", (F.col("r") / F.col("_t")).alias("pagerank"))
 

@@ -186,7 +186,8 @@ def project_query(ref: DataFrame, query: DataFrame, labels: DataFrame, k: int =
         F.coalesce(F.max(F.when(F.col("_r") == 2, F.col("p"))), F.lit(0.0)).alias("second_label_probability"),
         (-F.sum(F.col("p") * F.log("p"))).alias("neighbor_label_entropy"),
     )
-    dist = nq.groupBy("cell").agg(F.min("distance").alias("nearest_reference_distance"), F.avg("distance").alias("mean_neighbor_distance"))
+    # written once: it is joined on a computed value below
+    dist = materialise(nq.groupBy("cell").agg(F.min("distance").alias("nearest_reference_distance"), F.avg("distance").alias("mean_neighbor_distance")), "dist")
     scale = nr.groupBy("cell").agg(F.avg("distance").alias("v"))
     # reference means at or below each query mean, from one weighted ranking of both
     pooled = scale.select("v", F.lit(1).alias("w")).unionByName(dist.select(F.col("mean_neighbor_distance").alias("v"), F.lit(0).alias("w")))
@@ -372,7 +373,7 @@ def cluster_markers(layer: DataFrame, cells: DataFrame, cluster: str, n_top: int
     Positive values are ranked per gene from their distinct values; the zeros of a gene
     are one tied block whose rank and tie term are closed forms of their number.
     """
-    pos = layer.filter(F.col("value") > 0)
+    pos = materialise(layer.filter(F.col("value") > 0), "positive")  # joined on its values below
     ranks = materialise(value_ranks(pos, ["gene"], "value"), "ranks")
     n = cells.agg(F.count(F.lit(1)).cast("double").alias("N"))
     sizes = cells.groupBy(cluster).agg(F.count(F.lit(1)).cast("double").alias("n1"))
@@ -475,20 +476,18 @@ def metacell_overview(assignments: DataFrame, metacell: str, group: str) -> Data
     return attach(out, loose, [])
 
 
-def connected_components(edges: DataFrame, max_iter: int = 60) -> DataFrame:
-    """Smallest reachable name of each node, by repeated neighbour minima and pointer jumps."""
+def connected_components(edges: DataFrame) -> DataFrame:
+    """Smallest reachable name of each node, by neighbour minima and pointer jumps until none changes."""
     e = materialise(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges")
     state = e.select(F.col("src").alias("node")).distinct().withColumn("c", F.col("node"))
-    for _ in range(max_iter):
+    while True:
         low = e.join(state.select(F.col("node").alias("dst"), "c"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("c").alias("_m"))
         step = state.join(low, "node", "left").select("node", F.col("c").alias("_o"), F.least("c", "_m").alias("c"))
         jump = step.select(F.col("node").alias("c"), F.col("c").alias("_j"))
         new = cut_lineage(step.join(jump, "c", "left").select("node", "_o", F.least("c", "_j").alias("c")))
-        changed = new.filter(F.col("c") != F.col("_o")).limit(1).count()
         state = new.select("node", "c")
-        if not changed:
-            break
-    return state
+        if new.filter(F.col("c") != F.col("_o")).isEmpty():
+            return state
 
 
 def lisi(neighbors: DataFrame, labels: DataFrame) -> DataFrame:

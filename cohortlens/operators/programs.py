@@ -94,7 +94,7 @@ def ucell(layer: DataFrame, cells: DataFrame, net: DataFrame, n_genes: int, max_
     genes enter as one product and no zero is ranked.
     """
     by_value = W.partitionBy("cell").orderBy(F.col("value").desc())
-    positive = layer.filter(F.col("value") > 0)
+    positive = materialise(layer.filter(F.col("value") > 0), "positive")  # joined on its values below
     folded = positive.groupBy("cell", "value").agg(F.count(F.lit(1)).alias("m"))
     before = by_value.rowsBetween(W.unboundedPreceding, -1)
     ranks = folded.select(

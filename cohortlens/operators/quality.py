@@ -27,10 +27,29 @@ FAMILIES = (
 )
 DAMAGE_FAMILIES = FAMILIES[:4]
 SUPPORTING_FAMILIES = ("metabolic_stress",)
-STRESS_GENES = (
-    "FOS FOSB JUN JUNB JUND EGR1 ATF3 IER2 HSPA1A HSPA1B HSPB1 HSPH1 DNAJB1 DNAJA1 "
-    "SOCS3 ZFP36 DUSP1 KLF6 NR4A1 PPP1R15A"
-).split()
+# Immediate-early and heat-shock genes.
+STRESS_GENES = [
+    "FOS",
+    "FOSB",
+    "JUN",
+    "JUNB",
+    "JUND",
+    "EGR1",
+    "ATF3",
+    "IER2",
+    "HSPA1A",
+    "HSPA1B",
+    "HSPB1",
+    "HSPH1",
+    "DNAJB1",
+    "DNAJA1",
+    "SOCS3",
+    "ZFP36",
+    "DUSP1",
+    "KLF6",
+    "NR4A1",
+    "PPP1R15A",
+]
 NUCLEAR_GENES = ["MALAT1"]
 STRESS_WEIGHT = 0.6
 

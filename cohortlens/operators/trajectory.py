@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -38,21 +40,24 @@ def embedding_outliers(embedding: DataFrame, mad: float = 5.0, n_dims: int = 10)
     return dev.join(spread, "dim").groupBy("cell").agg(F.coalesce(F.bool_or(z > mad), F.lit(False)).alias("outlier"))
 
 
-def graph_pseudotime(edges: DataFrame, root: DataFrame, max_iter: int = 200) -> DataFrame:
+def graph_pseudotime(edges: DataFrame, root: DataFrame, max_iter: int | None = None) -> DataFrame:
     """Shortest distance from the root along the graph, scaled to [0, 1]; unreachable is null.
 
-    Only cells whose distance fell in the last round send to their neighbours.
+    Only cells whose distance fell in the last round send to their neighbours; rounds go on until
+    none did. A given ``max_iter`` that is reached before that raises.
     """
     e = materialise(edges.select("src", "dst", "distance"), "edges")
     nodes = materialise(e.select(F.col("src").alias("cell")).unionByName(e.select(F.col("dst").alias("cell"))).distinct(), "nodes")
     state = cut_lineage(root.select("cell", F.lit(0.0).alias("d"), F.lit(True).alias("fresh")))
-    for _ in range(max_iter):
+    for done in itertools.count(1):
         sent = state.filter("fresh").select(F.col("cell").alias("src"), "d").join(e, "src").groupBy(F.col("dst").alias("cell")).agg(F.min(F.col("d") + F.col("distance")).alias("_n"))
         merged = state.select("cell", "d").join(sent, "cell", "full")
         better = F.coalesce(F.col("_n") < F.col("d"), F.col("d").isNull())
         state = cut_lineage(merged.select("cell", F.least("d", "_n").alias("d"), better.alias("fresh")))
-        if not state.filter("fresh").limit(1).count():
+        if state.filter("fresh").isEmpty():
             break
+        if max_iter is not None and done >= max_iter:
+            raise RuntimeError(f"distances still fall after {max_iter} rounds")
     top = state.agg(F.max("d").alias("_m"))
     return attach(nodes.join(state.select("cell", "d"), "cell", "left"), top, []).select("cell", (F.col("d") / F.nullif(F.col("_m"), F.lit(0.0))).alias("pseudotime"))
 
@@ -80,11 +85,13 @@ def steady_state_velocity(layers: DataFrame, min_shared: float = 20.0) -> tuple[
     return genes, wide.join(genes.select("gene", "gamma"), "gene").select("cell", "gene", (F.col("u") - F.col("gamma") * F.col("s")).alias("velocity"))
 
 
-def fate_probabilities(edges: DataFrame, pseudotime: DataFrame, terminal: DataFrame, bias: float = 10.0, n_iter: int = 60, tol: float = 1e-6) -> DataFrame:
+def fate_probabilities(edges: DataFrame, pseudotime: DataFrame, terminal: DataFrame, bias: float = 10.0, n_iter: int | None = None, tol: float = 1e-6) -> DataFrame:
     """Probability of absorption in each terminal group under forward-biased steps.
 
     Edges against pseudotime are damped by ``exp(-bias·Δ)``; terminal cells absorb.
-    ``terminal`` is ``(cell, fate)``.
+    ``terminal`` is ``(cell, fate)``. Steps go on until no further cell is reached and every
+    probability stands still relative to its size. A given ``n_iter`` stops earlier, with a warning.
+    Cells without a path to a terminal have no row.
     """
     t = pseudotime.filter(F.col("pseudotime").isNotNull())
     e = edges.join(t.select(F.col("cell").alias("src"), F.col("pseudotime").alias("a")), "src").join(t.select(F.col("cell").alias("dst"), F.col("pseudotime").alias("b")), "dst")
@@ -95,16 +102,21 @@ def fate_probabilities(edges: DataFrame, pseudotime: DataFrame, terminal: DataFr
     fixed = materialise(terminal.select("cell", "fate", F.lit(1.0).alias("prob")), "fixed")
     state = fixed
     previous = None
-    for i in range(1, n_iter + 1):
+    for i in itertools.count(1):
         moved = p.join(state.withColumnRenamed("cell", "dst"), "dst").groupBy(F.col("src").alias("cell"), "fate").agg(F.sum(F.col("p") * F.col("prob")).alias("prob"))
         state = fixed.unionByName(moved)
-        if i % 5 == 0 or i == n_iter:
+        if i % 5 == 0:
             state = cut_lineage(state)
             if previous is not None:
-                gap = state.join(previous.withColumnRenamed("prob", "_o"), ["cell", "fate"], "left").agg(F.max(F.abs(F.col("prob") - F.coalesce("_o", F.lit(0.0))))).first()[0]
-                if gap is not None and gap < tol:
+                # a pair that is new has a relative gap of one
+                old = F.coalesce("_o", F.lit(0.0))
+                gap = state.filter("prob > 0").join(previous.withColumnRenamed("prob", "_o"), ["cell", "fate"], "left").agg(F.max(F.abs(F.col("prob") - old) / F.col("prob"))).first()[0]
+                if gap is None or gap < tol:
                     break
             previous = state
+        if n_iter is not None and i >= n_iter:
+            warnings.warn(f"fates have not settled after {n_iter} steps", stacklevel=2)
+            break
     total = state.groupBy("cell").agg(F.sum("prob").alias("_t"))
     return state.join(total, "cell").filter(F.col("_t") > 0).select("cell", "fate", (F.col("prob") / F.col("_t")).alias("prob"))
 

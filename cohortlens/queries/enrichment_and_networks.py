@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.levels import bounded_levels
 from ..operators import communicate as m
 from ..operators import compare as j
 from ..operators import enrich as e
@@ -461,7 +462,7 @@ GRID = LOG_SQL + """, gr AS (SELECT d.cell, x.gene, COALESCE(value, 0) AS v FROM
 
 
 def brands(spark, sf):
-    return sorted(x[0] for x in b.table(spark, sf, "part").select("p_brand").distinct().limit(1000).collect())
+    return bounded_levels(b.table(spark, sf, "part"), "p_brand")
 
 
 def correlations(spark, sf):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.levels import bounded_levels
 from ..operators import embed, fits, normalize
 from ..session import materialise, scratch_path
 from ..sources import readers, subset
@@ -256,7 +257,7 @@ def d8(spark, sf):
 
 
 def brands(spark, sf):
-    return sorted(x[0] for x in b.table(spark, sf, "part").select("p_brand").distinct().limit(1000).collect())
+    return bounded_levels(b.table(spark, sf, "part"), "p_brand")
 
 
 def fitted(spark, sf, k=5):

@@ -31,18 +31,33 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _check_header(lines: DataFrame, first: int | None, body: DataFrame, n_features: int, n_cells: int) -> None:
+    stated = lines.filter(F.col("line") == (first or 0)).select("value").collect()
+    if not stated:
+        raise ValueError("the matrix file has no dimension line")
+    dims = tuple(int(x) for x in stated[0].value.split()[:3])
+    got = body.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(F.col("row").between(1, n_features) & F.col("col").between(1, n_cells), F.lit(False))).alias("outside")).first()
+    if dims != (n_features, n_cells, got.n):
+        raise ValueError(f"the matrix states {dims} rows, columns and entries; the files have {(n_features, n_cells, got.n)}")
+    if got.outside:
+        raise ValueError(f"{got.outside} entries lie outside the name files")
+
+
 def read_mtx_counts(
     spark: SparkSession, folder: str, matrix: str = "matrix.mtx", features: str = "features.tsv", barcodes: str = "barcodes.tsv"
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(counts, genes, barcodes)`` of a gene × cell coordinate file and its name files.
 
-    The first line that is no comment states the dimensions and is dropped; a third
-    feature column keeps only gene expression.
+    The first line that is no comment states the numbers of rows, columns and entries; files that
+    do not agree with it, and indices outside them, are refused. A third feature column keeps only
+    gene expression.
     """
     tab = F.split("value", "\t")
     genes = numbered_lines(spark, f"{folder}/{features}").select(
         F.col("line").alias("row"), tab[0].alias("gene"), F.coalesce(F.get(tab, 1), tab[0]).alias("symbol"), F.get(tab, 2).alias("kind")
     )
+    genes = materialise(genes, "features")
+    n_features = genes.count()
     genes = materialise(genes.filter(F.col("kind").isNull() | (F.col("kind") == "Gene Expression")).drop("kind"), "genes")
     cells = materialise(numbered_lines(spark, f"{folder}/{barcodes}").select(F.col("line").alias("col"), tab[0].alias("cell")), "barcodes")
     for df, key in ((genes, "gene"), (cells, "cell")):
@@ -58,6 +73,7 @@ def read_mtx_counts(
     body = lines.filter(F.col("line") > (first or 0)).select(
         parts[0].cast("long").alias("row"), parts[1].cast("long").alias("col"), parts[2].cast("double").alias("value")
     )
+    _check_header(lines, first, body, n_features, cells.count())
     counts = (
         body.filter(F.col("value") != 0)
         .join(genes.select("row", "gene"), "row")
@@ -114,7 +130,19 @@ def import_libraries(
 
 
 # Manifest columns with a meaning; all others are kept as extras.
-MANIFEST_COLUMNS = "sample_id path cellranger_path loom_path donor_id condition batch tissue timepoint assay species".split()
+MANIFEST_COLUMNS = [
+    "sample_id",
+    "path",
+    "cellranger_path",
+    "loom_path",
+    "donor_id",
+    "condition",
+    "batch",
+    "tissue",
+    "timepoint",
+    "assay",
+    "species",
+]
 
 
 def load_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -112,8 +113,9 @@ def align_genes(ref: DataFrame, query: DataFrame, names: str = "symbol", ids: st
 
 
 def restrict_to_variable(counts: DataFrame, genes: DataFrame, flag: str = "highly_variable", forced: Sequence[str] = (), minimum: int = 1) -> DataFrame:
-    """Counts of flagged and forced genes; all genes when too few are flagged."""
+    """Counts of flagged and forced genes; all genes, with a warning, when too few are flagged."""
     chosen = genes.filter(F.coalesce(F.col(flag), F.lit(False)) | F.col("gene").isin(*forced)).select("gene")
     if genes.filter(F.coalesce(F.col(flag), F.lit(False))).limit(minimum).count() < minimum:
+        warnings.warn(f"fewer than {minimum} genes are flagged {flag}; all genes are kept", stacklevel=2)
         return counts
     return counts.join(chosen, "gene", "left_semi")
