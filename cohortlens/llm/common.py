@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -56,6 +58,12 @@ def ordered_sums(df: DataFrame, order: list[Column], value: Column, index: str,
     )
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps; its cleaner acts when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _neighbour_minimum(edges: DataFrame) -> DataFrame:
     """Large step: hang every larger neighbour of a vertex on the least vertex around it."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
