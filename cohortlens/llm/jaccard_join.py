@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from cohortlens.session import materialise
 
-from .common import connected_components
+from .common import connected_components, free_shuffles
 
 #: Token orders: the first gives candidates, a pair must also share prefix tokens under the others.
 ORDERS = 3
@@ -21,6 +21,9 @@ ORDERS = 3
 MAX_FREQUENT, FREQUENT = 200_000, 8
 #: Shingles a task counts at once, and members of a token's group that are all compared with each other.
 COUNT_AT_ONCE, SMALL_GROUP = 2_000_000, 24
+#: Tokens that linked sets share in their prefixes, at least (fewer if they share fewer at all), and
+#: ids that are broadcast, at most; more of them are joined by a shuffle.
+COMMON, MAX_BROADCAST = 6, 1_000_000
 
 _C = np.uint64(0x9E3779B97F4A7C15)
 
@@ -62,8 +65,9 @@ def prefix(tokens: np.ndarray, order: int, n_prefix: int, frequent: tuple[np.nda
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
-    """A set of n shares a token of its prefix with every set it links to."""
-    return n - -(-num * n // den) + 1
+    """A set of n shares ``min(COMMON, least overlap)`` tokens of its prefix with every set it links to."""
+    least = -(-num * n // den)
+    return n - least + min(COMMON, least)
 
 
 def frequent_shingles(docs: DataFrame, text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -200,11 +204,17 @@ def jaccard_classes(
         (F.col("m") > 2) | ((F.col("m") == 2) & (F.col("lo") * den >= F.col("hi") * num))
     )
     groups = materialise(listed.join(often.select("token"), "token", "left_semi"), "groups")
-    used = groups.select("node").distinct()
-    texts = plain.withColumnRenamed("doc", "node").join(used, "node", "left_semi")
+    # a node with fewer shared tokens than any link needs has no link
+    least = F.least(F.lit(COMMON), F.ceil(F.col("n") * num / den))
+    used = materialise(groups.groupBy("node").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n")).filter(F.col("shared") >= least).select("node"), "used")
+    few = used.count() <= MAX_BROADCAST
+    ids = F.broadcast(used) if few else used
+    groups = groups.join(ids, "node", "left_semi").select("token", "node", "n")
+    texts = plain.withColumnRenamed("doc", "node").join(ids, "node", "left_semi")
     profiles = materialise(_profiles(texts, "_text", size, num, den, shared), "profiles")
     # nodes of different texts under one id
     shared_ids = members.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("hi")).filter("a <> hi and doc is not null")
+    free_shuffles(spark)
     links = materialise(members.join(shared_ids.select("doc", "a"), "doc").filter("a <> node").select("a", F.col("node").alias("b")), "links")
     components, pivots, first = None, 1, True
     while True:
@@ -238,6 +248,7 @@ def jaccard_classes(
         components = materialise(connected_components(links, "a", "b"), "components")
         groups = placed.filter(~F.col("pivot")).select("token", "node", "n")
         pivots, first = pivots * 8, False
+        free_shuffles(spark)
     if components is None:
         components = connected_components(links, "a", "b")
     return members.join(components, F.col("node") == F.col("id"), "left").select(
