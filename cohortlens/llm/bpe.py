@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words and segments a task remembers; it forgets them all when there are more.
-MAX_WORDS = 300_000
+MAX_WORDS = 700_000
 #: Words of one recursive query, tokens of one decoding query, and bytes from which words count as long.
 WORDS_AT_ONCE, TOKENS_AT_ONCE, LONG_WORD = 40_000, 2_000_000, 256
 
@@ -79,8 +79,15 @@ SELECT q, t FROM step WHERE NOT live"""
 SEGMENT_END = re.compile(r"(?<=\S)(?= )")
 
 
+#: Segments of Latin letters only are words of any pattern that keeps letters and a leading space together.
+WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+
 class Codec:
-    """Encoder and decoder of one task, with its own in-memory database."""
+    """Encoder and decoder of one task, with its own in-memory database.
+
+    ``pattern`` must keep a run of letters and the space before it together, as byte-level BPE does.
+    """
 
     def __init__(self, ranks: dict[bytes, int], merges: pa.Table, pattern: str):
         import duckdb
@@ -137,7 +144,7 @@ class Codec:
             self.known.clear()
         known = self.known
         new = {s for p in pieces for s in p if s not in known}
-        split = {s: self.find(s) for s in new}
+        split = {s: [s] if WORD.fullmatch(s) else self.find(s) for s in new}
         words = {w for p in split.values() for w in p if w not in self.words}
         if words:
             self.learn(words)
