@@ -177,7 +177,7 @@ def jaccard_classes(
     Rows with equal shingle sets are one node, the least id. A node's rarest tokens under the first
     order put it into one group each. In a group, a few pivots are compared with all others, then
     the components found so far are applied, and pairs inside one component need no test any
-    more; pivots leave, their number grows eightfold a round, and groups that fit are compared
+    more; pivots leave, their number grows 64-fold a round, and groups that fit are compared
     whole once. So a group ends when it lies in one component or all its pairs were tested, and
     a large group of near copies costs one comparison a member. Only pairs that share prefix
     tokens under every further order have their whole sets compared.
@@ -247,7 +247,7 @@ def jaccard_classes(
         links = links.union(found)
         components = materialise(connected_components(links, "a", "b"), "components")
         groups = placed.filter(~F.col("pivot")).select("token", "node", "n")
-        pivots, first = pivots * 8, False
+        pivots, first = pivots * 64, False
         free_shuffles(spark)
     if components is None:
         components = connected_components(links, "a", "b")
