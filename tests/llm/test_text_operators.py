@@ -310,6 +310,42 @@ def test_passages_match_brute_force(spark):
     assert chaining.repeated_passages(same).count() == 0
 
 
+def compared_passages(texts):
+    """Numbers of the texts that have a passage of 50 words with any other, by the same alignment."""
+    known = {}
+    codes = [chaining.word_codes(t, known) for t in texts]
+    out = set()
+    for x in range(len(texts)):
+        for y in range(x):
+            for s, e, t, f, _ in chaining.passages(codes[x], codes[y]):
+                out |= ({x} if e - s >= 50 else set()) | ({y} if f - t >= 50 else set())
+    return out
+
+
+def test_edited_passages_of_a_large_family(spark):
+    r, near = random.Random(12), prose(903, 60, 9000).split()
+    texts = []
+    for i in range(200):
+        p = list(near)
+        p[r.randrange(60)] = f"other{i}"
+        texts.append(prose(3000 + i, 12, 90_000) + " " + " ".join(p) + " " + prose(4000 + i, 12, 90_000))
+    got = {row.doc_id for row in chaining.repeated_passages(frame(spark, texts)).collect()}
+    assert got == compared_passages(texts) and len(got) > 190
+
+
+def test_edited_family_beside_pieces_of_other_families(spark):
+    # an even text lies one edit from the unedited copy only, the pivot two or more
+    r, near = random.Random(5), prose(905, 60, 9000).split()
+    texts = [prose(5000, 12, 90_000) + " " + " ".join(near) + " " + prose(5001, 12, 90_000)]
+    for i in range(60):
+        p = list(near)
+        for at in r.sample(range(20, 40), 1 + i % 2):
+            p[at] = f"x{i}y{at}"
+        texts.append(prose(5100 + i, 12, 90_000) + " " + " ".join(p) + " " + prose(5300 + i, 12, 90_000))
+    got = {row.doc_id for row in chaining.repeated_passages(frame(spark, texts)).collect()}
+    assert got == compared_passages(texts)
+
+
 def test_fenwick_chains_equal_quadratic_chains():
     r = random.Random(3)
     for _ in range(30):
