@@ -346,6 +346,19 @@ def test_edited_family_beside_pieces_of_other_families(spark):
     assert got == compared_passages(texts)
 
 
+def test_passage_under_short_pieces_of_large_families(spark):
+    w = prose(904, 65, 9000).split()
+    texts = [prose(6000 + i, 20, 90_000) + " " + " ".join(w) + " " + prose(6010 + i, 20, 90_000) for i in range(2)]
+    for i in range(40):  # 45 words each, short of a passage, but they hold all seeds of the 65
+        part = w[:45] if i % 2 else w[20:]
+        texts.append(prose(6100 + i, 20, 90_000) + " " + " ".join(part) + " " + prose(6200 + i, 20, 90_000))
+    got = {}
+    for row in chaining.repeated_passages(frame(spark, texts)).collect():
+        got.setdefault(row.doc_id, []).append((row.first_word, row.last_word, row.likeness))
+    # the 45-word pieces make passages among themselves only within one half, and those are too short
+    assert got == {0: [(20, 84, 1.0)], 1: [(20, 84, 1.0)]}
+
+
 def test_fenwick_chains_equal_quadratic_chains():
     r = random.Random(3)
     for _ in range(30):
