@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -30,9 +29,28 @@ ESCAPE = re.compile(
     r"|\\u(?P<u4>[0-9A-Fa-f]{4})|\\U(?P<u8>[0-9A-Fa-f]{8})|\\x(?P<x2>[0-9A-Fa-f]{2})"
     r"|&#(?P<dec>[0-9]{1,7});|&#[xX](?P<hexa>[0-9A-Fa-f]{1,6});"
 )
-BASE64 = re.compile(r"(?:[A-Za-z0-9+/_-]{60,}\r?\n)*[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Decoded sizes beyond this are not unwrapped further; the row then says so in ``n_too_large``.
+# lines of a wrapped block and a last line of any length, or a run of its own
+BASE64 = re.compile(
+    r"(?:[A-Za-z0-9+/_-]{60,}\r?\n)+(?:[A-Za-z0-9+/_-]+={0,2}|={1,2})|[A-Za-z0-9+/_-]{16,}={0,2}"
+)
+#: What any finding in decoded bytes needs; bytes without it are not read as a layer.
+LOOK = re.compile(
+    rb"(?i:password|passwd|secret|token|api_?key)|[A-Za-z0-9+/_-]{16}|%[0-9A-Fa-f]{2}|\\[uUx]|&#"
+)
+#: UTF-16 text of six characters and more.
+WIDE = re.compile(rb"(?:[^\x00]\x00){6,}", re.S)
+#: First bytes of gzip, bzip2, xz and zlib data.
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x78[\x01\x5e\x9c\xda]")
+#: Escapes that can stand for single bytes, with the numbers of the digits' groups.
+BYTES = (
+    ("%", re.compile(rb"%([0-9A-Fa-f]{2})")),
+)
+SHORT = dict(zip(b"abfnrtv0\"'/\\", b"\a\b\f\n\r\t\v\0\"'/\\"))
+NAMES = {b"amp": b"&", b"lt": b"<", b"gt": b">", b"quot": b'"'}
+#: Content beyond this is not read; ``n_too_large`` counts it.
 MAX_LAYER = 64 << 20
+#: Bytes that a decompressor takes and gives at once.
+PIECE = 1 << 20
 
 SCHEMA = (
     "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_spans long, "
@@ -49,29 +67,59 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-class TooLarge(Exception):
-    """A compressed layer that unfolds beyond ``MAX_LAYER``."""
+def _tool(head: bytes):
+    """Decompressor for data that begins so; None if it is not packed."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 2 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj(15)
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(memlimit=256 << 20)
+    return None
 
 
-def unpack(data: bytes) -> bytes | None:
-    """Content of gzip, zlib, bzip2 or xz data; None if it is none of them or is broken."""
-    if data[:2] == b"\x1f\x8b":
-        tool, arg = zlib.decompressobj(31), (MAX_LAYER + 1,)
-    elif data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-        tool, arg = zlib.decompressobj(15), (MAX_LAYER + 1,)
-    elif data[:3] == b"BZh":
-        tool, arg = bz2.BZ2Decompressor(), (MAX_LAYER + 1,)
-    elif data[:6] == b"\xfd7zXZ\x00":
-        tool, arg = lzma.LZMADecompressor(memlimit=256 << 20), (MAX_LAYER + 1,)
-    else:
-        return None
-    try:
-        out = tool.decompress(data, *arg)
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
-        return None
-    if len(out) > MAX_LAYER:
-        raise TooLarge
-    return out
+def unpacked(data: bytes, at: int, end: list[int]):
+    """Content in pieces of the gzip, zlib, bzip2 and xz stream at ``at``.
+
+    ``end[0]`` becomes the place behind it. A broken one ends the content.
+    """
+    view = memoryview(data)
+    while (tool := _tool(bytes(view[at : at + 6]))) is not None:
+        pos = at
+        try:
+            while not tool.eof:
+                take = getattr(tool, "unconsumed_tail", b"")
+                if not take and getattr(tool, "needs_input", True):
+                    take = view[pos : pos + PIECE]
+                    pos += len(take)
+                out = tool.decompress(take, PIECE)
+                if out:
+                    yield out
+                elif not len(take) and pos >= len(data) and not tool.eof:
+                    break
+        except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
+            return
+        if not tool.eof:
+            end[0] = len(data)
+            return
+        end[0] = pos - len(tool.unused_data)
+        return
+
+
+def blocks(data: bytes, at: int, end: list[int]):
+    """``unpacked`` content as a whole, or in overlapping blocks of ``MAX_LAYER`` bytes."""
+    kept, fresh = bytearray(), 0
+    for piece in unpacked(data, at, end):
+        kept += piece
+        fresh += len(piece)
+        while len(kept) > MAX_LAYER:
+            yield bytes(kept[:MAX_LAYER])
+            del kept[: MAX_LAYER - MAX_LAYER // 8]
+            fresh = len(kept) - MAX_LAYER // 8
+    if fresh > 0:
+        yield bytes(kept)
 
 
 def readable(data: bytes) -> tuple[str, int] | None:
@@ -100,23 +148,22 @@ class Layer:
         return int(self.starts[i]), int(self.ends[j - 1])
 
 
-def escaped(layer: Layer) -> tuple[Layer | None, list[tuple[bytes, tuple[int, int]]]]:
-    """The layer with URL, Unicode and numeric escapes replaced, and packed byte runs in it."""
-    text, parts, starts, ends, packed = layer.text, [], [], [], []
+def escaped(layer: Layer) -> Layer | None:
+    """The layer with URL, Unicode and numeric escapes replaced."""
+    text, parts, starts, ends, placed = layer.text, [], [], [], layer.whole is None
     last = 0
 
     def keep(i: int, j: int) -> None:
         if j > i:
             parts.append(text[i:j])
-            starts.append(np.arange(i, j))
-            ends.append(np.arange(i + 1, j + 1))
+            if placed:
+                starts.append(np.arange(i, j))
+                ends.append(np.arange(i + 1, j + 1))
 
     for m in ESCAPE.finditer(text):
         kind, got = m.lastgroup, m.group(m.lastgroup)
         if kind == "pct":
             raw = bytes.fromhex(got.replace("%", ""))
-            if raw[:2] == b"\x1f\x8b" or raw[:3] == b"BZh" or raw[:1] == b"\x78" or raw[:6] == b"\xfd7zXZ\x00":
-                packed.append((raw, layer.root(m.start(), m.end())))
             out = raw.decode("utf-8", "replace")
             width = [3 * max(1, len(c.encode("utf-8"))) if c != "�" else 3 for c in out]
             if sum(width) != m.end() - m.start():
@@ -139,32 +186,71 @@ def escaped(layer: Layer) -> tuple[Layer | None, list[tuple[bytes, tuple[int, in
             ends.append(np.array([m.end()]))
         last = m.end()
     if not parts:
-        return None, packed
+        return None
     keep(last, len(text))
     if layer.whole is not None:
-        return Layer("".join(parts), whole=layer.whole), packed
+        return Layer("".join(parts), whole=layer.whole)
     s, e = np.concatenate(starts), np.concatenate(ends)
     if layer.starts is not None:
         s, e = layer.starts[s], layer.ends[e - 1]
-    return Layer("".join(parts), s, e), packed
+    return Layer("".join(parts), s, e)
+
+
+def escaped_bytes(layer: Layer):
+    """Bytes that a layer's escapes stand for, where packed data may begin, and the part of each range of them."""
+    for sign, pattern in BYTES:
+        if sign not in layer.text:
+            continue
+        # one byte a character; characters beyond a byte are not part of packed data
+        plain = layer.text.encode("latin-1", "replace")
+
+        def byte(m: re.Match) -> bytes:
+            got = m.groupdict()
+            if got.get("short"):
+                return bytes([SHORT[got["short"][0]]])
+            if got.get("name"):
+                return NAMES[got["name"]]
+            if got.get("dec"):
+                return bytes([int(got["dec"])]) if int(got["dec"]) < 256 else b"?"
+            return bytes([int(next(g for g in m.groups() if g), 16)])
+
+        for body in (plain, plain.replace(b"+", b" ")) if sign == "%" and b"+" in plain else (plain,):
+            data = pattern.sub(byte, body)
+            if data == body or not MAGIC.search(data):
+                continue
+            width = np.ones(len(data), np.int64)
+            shift = 0
+            for m in pattern.finditer(body):
+                width[m.start() - shift] = m.end() - m.start()
+                shift += m.end() - m.start() - 1
+            ends = np.cumsum(width)
+            yield data, lambda i, j, ends=ends, width=width: layer.root(int(ends[i] - width[i]), int(ends[j - 1]))
 
 
-def encoded(layer: Layer) -> list[tuple[bytes, tuple[int, int], np.ndarray, np.ndarray]]:
-    """Base64 runs of a layer: bytes, part of the original, and per byte its first and last character."""
-    found = []
+def encoded(layer: Layer):
+    """Base64 runs of a layer in all four alignments: bytes, if the run is in order so, its part of the
+    original, and a function that gives for all bytes their first and last character.
+
+    A word before the run, joined by ``/``, ``-`` or ``_``, only shifts it, and one behind it adds noise.
+    """
     for m in BASE64.finditer(layer.text):
         run = m.group().rstrip("=")
         clean = run.replace("\r", "").replace("\n", "")
-        if len(clean) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(clean.replace("-", "+").replace("_", "/") + "=" * (-len(clean) % 4))
-        except binascii.Error:
-            continue
-        where = np.arange(len(run)) if len(run) == len(clean) else np.array([i for i, c in enumerate(run) if c not in "\r\n"])
-        byte = np.arange(len(data))
-        found.append((data, layer.root(m.start(), m.end()), m.start() + where[byte * 8 // 6], m.start() + where[np.minimum((byte * 8 + 7) // 6, len(clean) - 1)] + 1))
-    return found
+        plain = clean.replace("-", "+").replace("_", "/")
+        for shift in range(4):
+            n = len(clean) - shift
+            n -= n % 4 == 1
+            if n < 8:
+                continue
+            data = base64.b64decode(plain[shift : shift + n] + "=" * (-n % 4))
+
+            def places(shift=shift, n=n, size=len(data)):
+                where = np.arange(len(run)) if len(run) == len(clean) else np.array([i for i, c in enumerate(run) if c not in "\r\n"])
+                where, byte = m.start() + where[shift : shift + n], np.arange(size)
+                first, last = where[byte * 8 // 6], where[np.minimum((byte * 8 + 7) // 6, n - 1)] + 1
+                return (first, last) if layer.starts is None else (layer.starts[first], layer.ends[last - 1])
+
+            yield data, shift == 0 and n == len(clean), layer.root(m.start(), m.end()), None if layer.whole is not None else places
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
@@ -184,29 +270,56 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             seen.add(mark)
             work.append(layer)
 
-    def add_bytes(data: bytes, part: tuple[int, int], starts=None, ends=None) -> None:
+    def add_packed(data: bytes, part_of) -> None:
+        """Content of every packed stream in the bytes."""
         nonlocal large
-        try:
-            inner = unpack(data)
-        except TooLarge:
-            large += 1
-            return
-        if inner is not None:
-            # what comes out may itself be packed or text of any kind
-            again = (hashlib.blake2b(inner, digest_size=16).digest(), part, "packed")
-            if again not in seen:
-                seen.add(again)
-                add_bytes(inner, part)
-                add(Layer(inner.decode("latin-1"), whole=part))
+        done = 0
+        for m in MAGIC.finditer(data):
+            if m.start() < done:
+                continue
+            end = [0]
+            content = blocks(data, m.start(), end)
+            first = next(content, None)
+            if first is None:
+                continue
+            more = sum(1 for _ in content)  # the end is known when all was read
+            done = end[0]
+            part = part_of(m.start(), done or len(data))
+            again = (hashlib.blake2b(first, digest_size=16).digest(), part, "packed", more)
+            if again in seen:
+                continue
+            seen.add(again)
+            if more:
+                large += 1
+            else:
+                add_content(first, part)
+
+    def add_content(inner: bytes, part: tuple[int, int]) -> None:
+        # what comes out may itself be packed or text of any kind
+        add_packed(inner, lambda i, j: part)
+        for m in WIDE.finditer(inner):
+            add(Layer(m.group()[::2].decode("latin-1"), whole=part))
+        add(Layer(inner.decode("latin-1"), whole=part))
+
+    def add_bytes(data: bytes, sure: bool, part: tuple[int, int], places) -> None:
+        got = readable(data) if sure and not MAGIC.match(data) else None
+        kept = [(*got, 0)] if got else [(data.decode("latin-1"), 1, 0)] if LOOK.search(data) else []
+        if not got or got[1] == 1:
+            kept += [(m.group()[::2].decode("latin-1"), 2, m.start()) for m in WIDE.finditer(data)]
+        magic = MAGIC.search(data)
+        if not kept and not magic:
             return
-        got = readable(data)
-        if got is None:
+        if places is None:
+            add_packed(data, lambda i, j: part)
+            for body, _, _ in kept:
+                add(Layer(body, whole=part))
             return
-        body, step = got
-        if starts is None:
-            add(Layer(body, whole=part))
-        else:
-            add(Layer(body, starts[: len(body) * step : step], ends[step - 1 : len(body) * step : step]))
+        starts, ends = places()
+        if magic:
+            add_packed(data, lambda i, j: part if (i, j) == (0, len(data)) else (int(starts[i]), int(ends[j - 1])))
+        for body, step, at in kept:
+            last = at + len(body) * step
+            add(Layer(body, starts[at:last:step], ends[at + step - 1 : last : step]))
 
     while work:
         layer = work.pop()
@@ -216,18 +329,13 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
                 a, b = layer.root(i, j)
                 spans.add((a, kind, b))
         if "%" in layer.text or "\\" in layer.text or "&#" in layer.text:
-            plain, packed = escaped(layer)
+            plain = escaped(layer)
             if plain is not None:
                 add(plain)
-            for data, part in packed:
-                add_bytes(data, part)
-        for data, part, i, j in encoded(layer):
-            if layer.whole is not None:
-                add_bytes(data, part)
-            elif layer.starts is None:
-                add_bytes(data, part, i, j)
-            else:
-                add_bytes(data, part, layer.starts[i], layer.ends[j - 1])
+            for data, part_of in escaped_bytes(layer):
+                add_packed(data, part_of)
+        for data, sure, part, places in encoded(layer):
+            add_bytes(data, sure, part, places)
     return base, sorted(spans), layers, large
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
 import hashlib
 import random
@@ -89,6 +90,29 @@ def test_secret_cycles_and_size_end(monkeypatch):
     assert secret_scan.scan(bomb)[3] == 1
 
 
+def found_in(text: str, part: str) -> bool:
+    """A secret is found whose span lies in a part of the text, and masking removes it."""
+    base, spans, _, _ = secret_scan.scan(text)
+    at = text.index(part)
+    return any(k == 0 and at <= i < j <= at + len(part) for i, k, j in set(spans) - set(base))
+
+
+@pytest.mark.parametrize("before", ["https://h/x/", "https://h/xy/", "https://h/xyz/", "https://h/x/abc/", "blob-", "ab_", "x" * 5, ""])
+@pytest.mark.parametrize("after", ["", "/next", "-y", "A"])
+def test_secret_base64_beside_other_words(before, after):
+    for raw in (SECRET.encode(), b"\xff\xfe\x80 " + SECRET.encode() + b" \xe9\x00\x81", SECRET.encode("utf-16-le"), zlib.compress(SECRET.encode()), bz2.compress(SECRET.encode())):
+        code = base64.b64encode(raw).decode().rstrip("=")
+        assert found_in(f"see {before}{code}{after} end", f"{before}{code}{after}")
+
+
+def test_secret_at_the_end_of_a_wrapped_block():
+    for n in range(40, 80):
+        text = base64.encodebytes(b"x" * n + b" token=abcdef").decode()
+        _, spans, _, _ = secret_scan.scan(text + "\n rest")
+        # the last character of the value is in the span
+        assert any(k == 0 and j >= len(text.rstrip("\n").rstrip("=")) for _, k, j in spans), n
+
+
 def test_secret_rows_and_masks(spark):
     docs = frame(spark, [None, "", f"x {SECRET} y", f"x {SECRET} y", "clean"])
     rows = {r.doc_id: r.secrets for r in secret_scan.secret_scan(docs).collect()}
