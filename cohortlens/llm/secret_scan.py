@@ -44,10 +44,12 @@ MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x78[\x01\x5e\x9c\xda]"
 #: Escapes that can stand for single bytes, with the numbers of the digits' groups.
 BYTES = (
     ("%", re.compile(rb"%([0-9A-Fa-f]{2})")),
+    ("\\", re.compile(rb"\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|(?P<short>[abfnrtv0\"'/\\]))")),
+    ("&", re.compile(rb"&(?:#[xX]0*([0-9A-Fa-f]{2});|#0*(?P<dec>[0-9]{1,3});|(?P<name>amp|lt|gt|quot);)")),
 )
 SHORT = dict(zip(b"abfnrtv0\"'/\\", b"\a\b\f\n\r\t\v\0\"'/\\"))
 NAMES = {b"amp": b"&", b"lt": b"<", b"gt": b">", b"quot": b'"'}
-#: Content beyond this is not read; ``n_too_large`` counts it.
+#: Content beyond this is read in blocks of this size that overlap by an eighth; ``n_too_large`` counts it.
 MAX_LAYER = 64 << 20
 #: Bytes that a decompressor takes and gives at once.
 PIECE = 1 << 20
@@ -81,9 +83,9 @@ def _tool(head: bytes):
 
 
 def unpacked(data: bytes, at: int, end: list[int]):
-    """Content in pieces of the gzip, zlib, bzip2 and xz stream at ``at``.
+    """Content in pieces of the gzip, zlib, bzip2 and xz streams that follow each other from ``at`` on.
 
-    ``end[0]`` becomes the place behind it. A broken one ends the content.
+    ``end[0]`` becomes the place behind the last of them. A broken one ends the content.
     """
     view = memoryview(data)
     while (tool := _tool(bytes(view[at : at + 6]))) is not None:
@@ -104,8 +106,9 @@ def unpacked(data: bytes, at: int, end: list[int]):
         if not tool.eof:
             end[0] = len(data)
             return
-        end[0] = pos - len(tool.unused_data)
-        return
+        at = end[0] = pos - len(tool.unused_data)
+        while at < len(data) and not data[at]:  # padding between streams
+            at += 1
 
 
 def blocks(data: bytes, at: int, end: list[int]):
@@ -291,6 +294,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             seen.add(again)
             if more:
                 large += 1
+                work.append((blocks(data, m.start(), [0]), part))
             else:
                 add_content(first, part)
 
@@ -323,6 +327,12 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
 
     while work:
         layer = work.pop()
+        if isinstance(layer, tuple):  # content in blocks: one of them is read to its end, then the next
+            block = next(layer[0], None)
+            if block is not None:
+                work.append(layer)
+                add_content(block, layer[1])
+            continue
         layers += 1
         if layers > 1:
             for i, kind, j in base_spans(layer.text):

@@ -6,10 +6,12 @@ import base64
 import bz2
 import gzip
 import hashlib
+import json
+import lzma
 import random
 import re
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, quote_plus
 
 import pytest
 
@@ -113,6 +115,31 @@ def test_secret_at_the_end_of_a_wrapped_block():
         assert any(k == 0 and j >= len(text.rstrip("\n").rstrip("=")) for _, k, j in spans), n
 
 
+def test_secret_packed_in_several_members():
+    pad = b"nothing here " * 20
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        code = base64.b64encode(pack(pad) + pack(pad) + pack(SECRET.encode())).decode()
+        assert found_in(f"a {code} b", code)
+
+
+def test_secret_packed_under_escapes():
+    for seed in range(20):
+        for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+            raw = pack((SECRET + prose(seed, 30)).encode())
+            for code in (quote(raw), quote_plus(raw), "".join(f"\\x{b:02x}" for b in raw), "".join(f"\\u{b:04x}" for b in raw), repr(raw)[2:-1], json.dumps(raw.decode("latin-1"))[1:-1]):
+                assert found_in(f"see {code} end", code), code
+
+
+def test_secret_in_content_beyond_the_limit(monkeypatch):
+    monkeypatch.setattr(secret_scan, "MAX_LAYER", 1000)
+    for n in (0, 500, 990, 1000, 5000, 123_456):
+        for pack in (gzip.compress, bz2.compress, lzma.compress):
+            body = "".join(random.Random(n).choice("xyz ") for _ in range(n)).encode() + b" " + SECRET.encode() + b" " * 2000
+            code = base64.b64encode(pack(body)).decode()
+            assert found_in(f"a {code} b", code)
+            assert secret_scan.scan(code)[3] == 1
+
+
 def test_secret_rows_and_masks(spark):
     docs = frame(spark, [None, "", f"x {SECRET} y", f"x {SECRET} y", "clean"])
     rows = {r.doc_id: r.secrets for r in secret_scan.secret_scan(docs).collect()}
