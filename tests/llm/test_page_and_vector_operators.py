@@ -144,3 +144,18 @@ def test_pipeline_against_its_operators(spark, tmp_path):
     back = corpus_pipeline.vocabulary(spark).decode(out).collect()
     assert back and all(bytes(x.bytes) == (x.text or "").encode() for x in back)
     assert out.count() == seen["mixing"].count()
+
+
+def test_pipeline_drops_truncated_and_edited_copies(spark):
+    """Copies whose five-word likeness lies between 0.80 and 0.85."""
+    r = random.Random(3)
+    words = [f"w{r.randrange(10**6)}" for _ in range(200)]
+    edited = [f"e{i}" if i % 46 == 30 else w for i, w in enumerate(words)]
+    other = [f"w{r.randrange(10**6)}" for _ in range(200)]
+    texts = [" ".join(words), " ".join(words[:165]), " ".join(edited), " ".join(other)]
+    grams = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    assert all(0.8 <= len(grams[0] & g) / len(grams[0] | g) < 0.85 for g in grams[1:3])
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, "")
+    assert {x.doc_id for x in kept.collect()} == {0, 3}
