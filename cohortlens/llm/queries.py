@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chaining, embedding_dedup, fingerprint, fixity, jaccard_join, mixing, secret_scan, toxicity, url_cascade
+from . import (
+    bpe,
+    chaining,
+    cover_tree_search,
+    embedding_dedup,
+    fingerprint,
+    fixity,
+    jaccard_join,
+    lexical_search,
+    mixing,
+    secret_scan,
+    token_alignment,
+    toxicity,
+    url_cascade,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +175,46 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
         fingerprint.distinct_shingles(F.col("sketch")).alias("n_distinct"),
         fingerprint.containment(F.col("edited_sketch"), F.col("sketch")).alias("edited_contained"),
     )
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    aligner = token_alignment.Aligner(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_alignment.token_alignment(aligner, table(spark, sf, "documents"))
+
+
+OP12_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, r.vec_id, CAST(list_inner_product(q.v, r.v) AS BIGINT) AS score
+  FROM v q JOIN v r ON q.vec_id % 50 = 0 AND r.vec_id <> q.vec_id),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5"""
+
+
+@query("op12_exact_top_k", OP12_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return cover_tree_search.top_inner_products(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+z AS (SELECT count(*) AS big_n, sum(len(t)) AS big_l FROM d WHERE len(t) > 0),
+m AS (SELECT doc_id, 10 + CAST((90 * len(t) * big_n) // big_l AS BIGINT) AS m FROM d, z),
+p AS (SELECT doc_id, unnest(t) AS t FROM d),
+f AS (SELECT doc_id, t, count(*) AS tf FROM p WHERE t IN (SELECT t FROM i) GROUP BY doc_id, t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, z GROUP BY t, big_n),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM i JOIN w USING (t) JOIN f USING (t) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10"""
+
+
+@query("op13_lexical_search", OP13_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
