@@ -79,24 +79,30 @@ def described(pair, texts):
     return out
 
 
-@pytest.mark.parametrize("piece, at_once, tokens", [(65_536, 1_000_000, 2_000_000), (40, 300, 50)])
-def test_alignment_matches_plain_loops(spark, pair, monkeypatch, piece, at_once, tokens):
-    for name, value in (("PIECE", piece), ("AT_ONCE", at_once), ("TOKENS_AT_ONCE", tokens)):
+@pytest.mark.parametrize("at_once, tokenized, links", [(4_000_000, 500_000, 2_000_000), (3000, 40, 50)])
+def test_alignment_matches_plain_loops(spark, pair, monkeypatch, at_once, tokenized, links):
+    for name, value in (("AT_ONCE", at_once), ("TOKENIZED", tokenized), ("LINKS_AT_ONCE", links)):
         monkeypatch.setattr(token_alignment, name, value)
     docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(40).toPandas()
     texts = [*ODD, *docs.text, *docs.text[:3]]
     df = spark.createDataFrame([(i if i != 3 else None, t, 1, "mine") for i, t in enumerate(texts)], "doc_id long, text string, a_ids int, row string")
     aligner = token_alignment.Aligner(spark, *FILES)
-    got = token_alignment.token_alignment(aligner, df.repartition(3)).collect()
+    columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    got = token_alignment.token_alignment(aligner, df.repartition(3)).select(columns).collect()
     want = described(pair, texts)
     assert len(got) == len(texts)
+    lists = {r.doc_id: r for r in aligner.align(df).collect()}
+    for i in (6, 9, 12, 20):
+        ids, groups = split(pair, texts[i])
+        r = lists[i]
+        assert [r.a_ids, r.b_ids] == list(map(list, ids)) and [r.a_sizes, r.b_sizes] == [[len(g[k]) for g in groups] for k in (0, 1)]
     assert {r[0]: tuple(r)[1:] for r in got} == {i if i != 3 else None: w for i, w in enumerate(want)}
     assert sum(1 for w in want if not w[0]) >= 3
 
 
 def test_linked_tokens_end_in_each_other(spark, pair):
     aligner = token_alignment.Aligner(spark, *FILES)
-    counts = token_alignment.pair_counts(aligner.align(spark.read.parquet(f"{SF}/documents.parquet"))).collect()
+    counts = token_alignment.pair_counts(aligner.describe(spark.read.parquet(f"{SF}/documents.parquet"))).collect()
     a, b = pair.a_bytes.to_pylist(), pair.b_bytes.to_pylist()
     assert all(a[r.a].endswith(b[r.b]) or b[r.b].endswith(a[r.a]) for r in counts)
     assert 1000 < len(counts) <= token_alignment.possible_pairs(pair) < 500_000
@@ -206,5 +212,6 @@ def test_query_matches_sql(spark, name):
 
 def test_alignment_query_reads_all_documents(spark, pair):
     docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas()
-    got = {r[0]: tuple(r)[1:] for r in QUERIES["op11_token_alignment"](spark, SF).collect()}
+    columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    got = {r[0]: tuple(r)[1:] for r in QUERIES["op11_token_alignment"](spark, SF).select(columns).collect()}
     assert got == dict(zip(docs.doc_id, described(pair, docs.text)))
