@@ -72,8 +72,9 @@ def with_next(docs: DataFrame, order: str, columns: list[str], prefix: str = "ne
     """``docs`` with ``columns`` of the next row by ``order``; the last row gets the first one's.
 
     Keys are cut into ranges at approximate quantiles. The first row of every range is sent to
-    the range before it as well, so one window inside each range finds every successor. Ties are
-    ordered by all ``columns``; rows whose key is null come before the others.
+    the range before it as well, so one window inside each range finds every successor. What a
+    range is told is joined to its rows, so the plan does not grow with their number. Ties are
+    ordered by all ``columns``; rows whose key is null come before the others. Keys are numbers.
     """
     n = partitions(docs.sparkSession) * 2
     cuts = docs.select(F.col(order).cast("double").alias("o")).approxQuantile("o", [i / n for i in range(1, n)], 0.25 / n)
@@ -82,23 +83,13 @@ def with_next(docs: DataFrame, order: str, columns: list[str], prefix: str = "ne
     rough = F.when(F.col(order).isNull(), F.lit(-1)).otherwise(rough).cast("long")
     ranged = docs.withColumn("_range", rough)
     # one row per range, a number set by the partition count
-    firsts = ranged.groupBy("_range").agg(F.min(order).alias("first")).orderBy("_range").collect()
-    if not firsts:
-        return ranged.drop("_range").select("*", *[F.col(c).alias(f"{prefix}{c}") for c in columns])
-    place = {r._range: i for i, r in enumerate(firsts)}
-    number = F.element_at(F.create_map(*[F.lit(v) for kv in place.items() for v in kv]), F.col("_range").cast("int"))
-    heads = F.create_map(*[F.lit(v) for kv in ((i, (i - 1) % len(firsts)) for i in range(len(firsts))) for v in kv])
-    is_first = F.lit(False)
-    for r in firsts:
-        is_first = is_first | ((F.col("_range") == r._range) & F.col(order).eqNullSafe(F.lit(r.first)))
-    copies = F.when(
-        is_first,
-        F.array(
-            F.struct(F.col("_n").alias("to"), F.lit(0).alias("last")),
-            F.struct(F.element_at(heads, F.col("_n")).alias("to"), F.lit(1).alias("last")),
-        ),
-    ).otherwise(F.array(F.struct(F.col("_n").alias("to"), F.lit(0).alias("last"))))
-    spread = ranged.withColumn("_n", number.cast("int")).withColumn("_copy", F.explode(copies))
+    order_of_ranges = W.Window.orderBy("_range")
+    every = W.Window.partitionBy(F.lit(0))
+    firsts = ranged.groupBy("_range").agg(F.min(order).alias("_first")).withColumn("_n", F.row_number().over(order_of_ranges) - 1)
+    places = firsts.withColumn("_before", F.pmod(F.col("_n") - 1, F.count(F.lit(1)).over(every).cast("int")))
+    to = lambda place, last: F.struct(F.col(place).alias("to"), F.lit(last).alias("last"))
+    copies = F.when(F.col(order).eqNullSafe(F.col("_first")), F.array(to("_n", 0), to("_before", 1))).otherwise(F.array(to("_n", 0)))
+    spread = ranged.join(F.broadcast(places), "_range").withColumn("_copy", F.explode(copies))
     inside = W.Window.partitionBy("_copy.to").orderBy("_copy.last", order, *[c for c in columns if c != order])
     follow = F.lead(F.struct(*columns)).over(inside)
     return (

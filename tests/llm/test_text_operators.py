@@ -464,3 +464,15 @@ def test_sketch_estimates(spark):
     assert row.j == pytest.approx(len(x & y) / len(x | y), abs=0.1)
     assert row.c == pytest.approx(len(x & y) / len(x), abs=0.15)
     assert row.n == pytest.approx(len(x), rel=0.2) and row.u == pytest.approx(len(x | y), rel=0.2)
+
+
+def test_next_row_with_very_many_ranges(spark):
+    """The plan must not grow with the number of ranges."""
+    docs = spark.range(900).selectExpr("id * 3 AS doc_id", "concat('t', id) AS text")
+    many = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        got = {r.doc_id: r.next_text for r in fingerprint.with_next(docs, "doc_id", ["doc_id", "text"]).select("doc_id", "next_text").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", many)
+    assert got == {3 * i: f"t{(i + 1) % 900}" for i in range(900)}
