@@ -9,7 +9,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortlens.session import materialise
 
@@ -20,7 +19,9 @@ ORDERS = 3
 #: Frequent shingles that the orders put last, at most; a shingle counts as one from this number on.
 MAX_FREQUENT, FREQUENT = 200_000, 8
 #: Shingles a task counts at once, and members of a token's group that are all compared with each other.
-COUNT_AT_ONCE, SMALL_GROUP = 2_000_000, 24
+COUNT_AT_ONCE, SMALL_GROUP = 1_000_000, 24
+#: Words whose hashes a task remembers.
+MAX_KNOWN = 200_000
 #: Tokens that linked sets share in their prefixes, at least (fewer if they share fewer at all), and
 #: ids that are broadcast, at most; more of them are joined by a shuffle.
 COMMON, MAX_BROADCAST = 6, 1_000_000
@@ -40,7 +41,7 @@ def shingle_set(text, size: int, known: dict[bytes, int]) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split() if isinstance(text, str) else []
     if not words:
         return np.zeros(0, np.uint64)
-    if len(known) > 400_000:
+    if len(known) > MAX_KNOWN:
         known.clear()
     for w in {w for w in words if w not in known}:
         known[w] = xxhash.xxh64_intdigest(w)
@@ -137,25 +138,14 @@ def _profiles(docs: DataFrame, text: str, size: int, num: int, den: int, shared)
                 s = shingle_set(t, size, known)
                 m = prefix_length(len(s), num, den) if len(s) else 0
                 filters = [prefix(s, k, m, shared.value).view(np.int64) for k in range(1, ORDERS)]
-                out.append((s.tobytes(), *filters))
+                out.append((s.view(np.int64), *filters))
             columns = list(zip(*out)) if out else [()] * ORDERS
             yield pd.DataFrame({"node": pdf["node"], "tokens": columns[0]} | {f"f{k}": columns[k] for k in range(1, ORDERS)})
 
-    schema = "node long, tokens binary, " + ", ".join(f"f{k} array<long>" for k in range(1, ORDERS))
+    schema = "node long, tokens array<long>, " + ", ".join(f"f{k} array<long>" for k in range(1, ORDERS))
     return docs.select("node", "_text").mapInPandas(run, schema)
 
 
-@F.pandas_udf(T.LongType())
-def _common(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-            for x, y in zip(a, b)
-        ],
-        dtype="int64",
-    )
-
-
 def _verified(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs ``a, b`` that pass the filters of the further orders, and then the exact test."""
     light = profiles.drop("tokens")
@@ -164,8 +154,10 @@ def _verified(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> Data
     for k in range(1, ORDERS):
         kept = kept.filter(F.arrays_overlap(f"a{k}", f"b{k}"))
     full = lambda side: profiles.select(F.col("node").alias(side), F.col("tokens").alias(f"t{side}"))
-    whole = kept.select("a", "b").join(full("a"), "a").join(full("b"), "b").withColumn("_both", _common("ta", "tb"))
-    union = F.length("ta") / 8 + F.length("tb") / 8 - F.col("_both")
+    # whole sets are intersected where they are joined: batches of them for Python workers have no bound in bytes
+    both = F.size(F.array_intersect("ta", "tb")).alias("_both")
+    whole = kept.select("a", "b").join(full("a"), "a").join(full("b"), "b").select("a", "b", both, (F.size("ta") + F.size("tb")).alias("_sum"))
+    union = F.col("_sum") - F.col("_both")
     return whole.filter(F.col("_both") * den >= union * num).select("a", "b")
 
 
