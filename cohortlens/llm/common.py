@@ -64,6 +64,15 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete written intermediates that no later step reads; each is a table as ``materialise`` returned it."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def _neighbour_minimum(edges: DataFrame) -> DataFrame:
     """Large step: hang every larger neighbour of a vertex on the least vertex around it."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -90,7 +99,8 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = materialise(edges, "edges")
     seen = None
     while True:
-        edges = materialise(_smaller_minimum(_neighbour_minimum(edges)).filter("u <> v").distinct(), "edges")
+        last, edges = edges, materialise(_smaller_minimum(_neighbour_minimum(edges)).filter("u <> v").distinct(), "edges")
+        discard(last)
         # order-free digest of the edge set; one row
         now = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
         if now == seen:

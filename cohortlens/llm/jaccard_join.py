@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.session import materialise
 
-from .common import connected_components, free_shuffles
+from .common import connected_components, discard, free_shuffles
 
 #: Token orders: the first gives candidates, a pair must also share prefix tokens under the others.
 ORDERS = 3
@@ -128,7 +128,7 @@ def _signatures(docs: DataFrame, id: str, text: str, size: int, num: int, den: i
 
 
 def _profiles(docs: DataFrame, text: str, size: int, num: int, den: int, shared) -> DataFrame:
-    """``node, tokens (set), filters (prefix in each further order)`` of the given documents."""
+    """``node, n, tokens (set), filters (prefix in each further order)`` of the given documents."""
 
     def run(batches):
         known: dict[bytes, int] = {}
@@ -140,25 +140,34 @@ def _profiles(docs: DataFrame, text: str, size: int, num: int, den: int, shared)
                 filters = [prefix(s, k, m, shared.value).view(np.int64) for k in range(1, ORDERS)]
                 out.append((s.view(np.int64), *filters))
             columns = list(zip(*out)) if out else [()] * ORDERS
-            yield pd.DataFrame({"node": pdf["node"], "tokens": columns[0]} | {f"f{k}": columns[k] for k in range(1, ORDERS)})
+            yield pd.DataFrame({"node": pdf["node"], "n": [len(s) for s in columns[0]], "tokens": columns[0]} | {f"f{k}": columns[k] for k in range(1, ORDERS)})
 
-    schema = "node long, tokens array<long>, " + ", ".join(f"f{k} array<long>" for k in range(1, ORDERS))
+    schema = "node long, n long, tokens array<long>, " + ", ".join(f"f{k} array<long>" for k in range(1, ORDERS))
     return docs.select("node", "_text").mapInPandas(run, schema)
 
 
 def _verified(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs ``a, b`` that pass the filters of the further orders, and then the exact test."""
+    """Pairs ``a, b`` that pass the filters of the further orders, and then the exact test.
+
+    Linked sets share ``COMMON`` tokens of their prefixes under every order, or all that they share at least.
+    """
     light = profiles.drop("tokens")
-    of = lambda side: light.select(F.col("node").alias(side), *[F.col(f"f{k}").alias(f"{side}{k}") for k in range(1, ORDERS)])
-    kept = pairs.join(of("a"), "a").join(of("b"), "b")
+    of = lambda side: light.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), *[F.col(f"f{k}").alias(f"{side}{k}") for k in range(1, ORDERS)])
+    near = pairs.join(of("a"), "a").join(of("b"), "b")
+    least = F.least(F.lit(COMMON), *[F.ceil(F.col(f"n{side}") * num / den) for side in "ab"])
     for k in range(1, ORDERS):
-        kept = kept.filter(F.arrays_overlap(f"a{k}", f"b{k}"))
-    full = lambda side: profiles.select(F.col("node").alias(side), F.col("tokens").alias(f"t{side}"))
+        near = near.filter(F.size(F.array_intersect(f"a{k}", f"b{k}")) >= least)
+    kept = materialise(near.select("a", "b"), "kept")
+    asked = kept.select(F.col("a").alias("node")).union(kept.select("b")).distinct()
+    asked = profiles.select("node", "tokens").join(asked, "node", "left_semi")
+    full = lambda side: asked.select(F.col("node").alias(side), F.col("tokens").alias(f"t{side}"))
     # whole sets are intersected where they are joined: batches of them for Python workers have no bound in bytes
     both = F.size(F.array_intersect("ta", "tb")).alias("_both")
-    whole = kept.select("a", "b").join(full("a"), "a").join(full("b"), "b").select("a", "b", both, (F.size("ta") + F.size("tb")).alias("_sum"))
+    whole = kept.join(full("a"), "a").join(full("b"), "b").select("a", "b", both, (F.size("ta") + F.size("tb")).alias("_sum"))
     union = F.col("_sum") - F.col("_both")
-    return whole.filter(F.col("_both") * den >= union * num).select("a", "b")
+    found = materialise(whole.filter(F.col("_both") * den >= union * num).select("a", "b"), "links")
+    discard(kept)
+    return found
 
 
 def jaccard_classes(
@@ -191,11 +200,12 @@ def jaccard_classes(
     )
     nodes = materialise(nodes, "nodes")
     members = materialise(rows.drop("tokens").join(nodes.select("same", "node"), "same", "left").drop("same"), "members")
+    discard(rows)
     listed = nodes.select(F.explode("tokens").alias("token"), "node", "n")
     often = listed.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi")).filter(
         (F.col("m") > 2) | ((F.col("m") == 2) & (F.col("lo") * den >= F.col("hi") * num))
     )
-    groups = materialise(listed.join(often.select("token"), "token", "left_semi"), "groups")
+    groups = groups_table = materialise(listed.join(often.select("token"), "token", "left_semi"), "groups")
     # a node with fewer shared tokens than any link needs has no link
     least = F.least(F.lit(COMMON), F.ceil(F.col("n") * num / den))
     used = materialise(groups.groupBy("node").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n")).filter(F.col("shared") >= least).select("node"), "used")
@@ -204,6 +214,7 @@ def jaccard_classes(
     groups = groups.join(ids, "node", "left_semi").select("token", "node", "n")
     texts = plain.withColumnRenamed("doc", "node").join(ids, "node", "left_semi")
     profiles = materialise(_profiles(texts, "_text", size, num, den, shared), "profiles")
+    discard(nodes)
     # nodes of different texts under one id
     shared_ids = members.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("hi")).filter("a <> hi and doc is not null")
     free_shuffles(spark)
@@ -235,10 +246,11 @@ def jaccard_classes(
             .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
             .distinct()
         )
-        found = materialise(_verified(pairs, profiles, num, den), "links")
-        links = links.union(found)
+        links = links.union(_verified(pairs, profiles, num, den))
         components = materialise(connected_components(links, "a", "b"), "components")
-        groups = placed.filter(~F.col("pivot")).select("token", "node", "n")
+        done, groups = groups_table, materialise(placed.filter(~F.col("pivot")).select("token", "node", "n"), "groups")
+        discard(done, placed)
+        groups_table = groups
         pivots, first = pivots * 64, False
         free_shuffles(spark)
     if components is None:
