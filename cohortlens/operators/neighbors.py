@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from ..functions.levels import bounded_levels, with_levels
 from ..functions.ranks import attach, grouped_quantiles, value_ranks
 from ..session import cut_lineage, materialise
+from . import communities
 
 BLOCK = 4_000
 MAX_PIVOTS = 256
@@ -214,38 +215,12 @@ def transfer_labels(neighbors: DataFrame, labels: DataFrame) -> DataFrame:
     return votes.groupBy("cell").agg(F.min_by("label", F.struct(-F.col("n"), F.col("label"))).alias("label"), (F.max("n") / F.sum("n")).alias("share"))
 
 
-def graph_cluster(edges: DataFrame, resolution: float = 1.0, max_iter: int = 12, seed: int = 0) -> DataFrame:
-    """Communities by local moving on modularity with a resolution parameter.
+def graph_cluster(edges: DataFrame, resolution: float = 1.0, seed: int = 0, max_sweeps: int | None = None, max_rounds: int | None = None) -> DataFrame:
+    """``cell, cluster``: communities by modularity with a resolution parameter, numbered by size.
 
-    In each round half of the nodes, chosen by hash, move to the neighbouring community
-    of largest gain; ids are then numbered by size.
+    No cell gains by moving and every community is connected; see ``communities``.
     """
-    e = materialise(edges.filter(F.col("src") != F.col("dst")).select("src", "dst", "weight"), "edges")
-    strength = materialise(e.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("k")), "strength")
-    two_m = strength.agg(F.sum("k")).first()[0] or 1.0
-    state = strength.select("node", "k", F.col("node").alias("c"))
-    for i in range(max_iter):
-        size = state.groupBy("c").agg(F.sum("k").alias("tot"))
-        links = (
-            e.join(state.select(F.col("node").alias("dst"), "c"), "dst")
-            .groupBy(F.col("src").alias("node"), "c").agg(F.sum("weight").alias("w"))
-        )
-        own = state.select("node", "k", F.col("c").alias("_own"))
-        options = links.unionByName(state.select("node", "c", F.lit(0.0).alias("w"))).groupBy("node", "c").agg(F.sum("w").alias("w"))
-        gain = options.join(size, "c").join(own, "node").withColumn(
-            "g", F.col("w") - resolution * F.col("k") * (F.col("tot") - F.when(F.col("c") == F.col("_own"), F.col("k")).otherwise(0.0)) / two_m
-        )
-        best = gain.groupBy("node", "k", "_own").agg(F.max_by("c", F.struct(F.round("g", 12), (F.col("c") == F.col("_own")), F.col("c"))).alias("_new"))
-        turn = F.pmod(F.xxhash64(F.lit(seed), F.lit(i), "node"), F.lit(2)) == 0
-        state = cut_lineage(best.select("node", "k", F.when(turn, F.col("_new")).otherwise(F.col("_own")).alias("c"), (turn & (F.col("_new") != F.col("_own"))).alias("moved")))
-        moved = state.filter("moved").count()
-        state = state.drop("moved")
-        if moved == 0 and i > 1:
-            break
-    sizes = state.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-    order = W.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), "c")
-    ids = sizes.withColumn("cluster", (F.row_number().over(order) - 1).cast("string"))
-    return state.join(ids, "c").select(F.col("node").alias("cell"), "cluster")
+    return communities.numbered_by_size(communities.communities(edges, resolution, seed, max_sweeps, max_rounds))
 
 
 def max_jaccard(reference: DataFrame, other: DataFrame) -> DataFrame:
@@ -266,21 +241,74 @@ def stability_summary(jaccards: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def bootstrap_allocation(jaccards: DataFrame, budget: int) -> DataFrame:
+    """``resolution, extra``: how many of ``budget`` further draws each resolution gets.
+
+    Priority is the interquartile range plus the larger change of the median towards a neighbouring
+    resolution, each scaled to 0..1 over the resolutions (0 where all are equal). Without any
+    priority the budget is dealt evenly, without its remainder. Halves round to even.
+    """
+    s = stability_summary(jaccards, ["resolution"])
+    order = W.partitionBy(F.lit(0)).orderBy("resolution")  # a row a resolution of the sweep
+    every = W.partitionBy(F.lit(0))
+    change = lambda f: F.abs(F.col("median") - f("median").over(order))
+    s = s.select("resolution", (F.col("q75") - F.col("q25")).alias("_iqr"), F.coalesce(F.greatest(change(F.lag), change(F.lead)), F.lit(0.0)).alias("_step"))
+    scaled = lambda c: F.when(F.max(c).over(every) > F.min(c).over(every), (F.col(c) - F.min(c).over(every)) / (F.max(c).over(every) - F.min(c).over(every))).otherwise(0.0)
+    p = s.select("resolution", (scaled("_iqr") + scaled("_step")).alias("_p"))
+    total, n = F.sum("_p").over(every), F.count(F.lit(1)).over(every)
+    return p.select("resolution", F.when(total > 0, F.bround(F.col("_p") / total * budget, 0).cast("long")).otherwise(F.floor(F.lit(budget) / n)).alias("extra"))
+
+
+def _boot_jaccards(embedding: DataFrame, refs: DataFrame, draws: dict[int, list[float]], fraction: float, k: int, seed: int) -> DataFrame:
+    """``resolution, cluster, boot, jaccard``: subsamples clustered at their resolutions, all in one run, against the full clusters."""
+    spark = embedding.sparkSession
+    edges = None
+    for b in draws:
+        keep = F.pmod(F.xxhash64(F.lit(seed), F.lit(b), "cell"), F.lit(1000)) < int(1000 * fraction)
+        sub = materialise(embedding.filter(keep).select("cell", "vec"), "boot")
+        own = knn_graph(knn(sub, sub, k)).select(F.lit(b).alias("part"), "src", "dst", "weight")
+        edges = own if edges is None else edges.unionByName(own)
+    plan = spark.createDataFrame([(b, float(x)) for b, own in draws.items() for x in own], "part int, resolution double")
+    found = materialise(communities.communities_of_parts(materialise(edges, "graphs"), plan, seed), "boots")
+    # contingency of the full clusters with each subsample's, over the cells drawn
+    pair = found.join(refs.select("resolution", "cell", F.col("cluster").alias("_ref")), ["resolution", "cell"])
+    n = materialise(pair.groupBy("resolution", "part", "_ref", "cluster").agg(F.count(F.lit(1)).alias("n")), "cross")
+    of = lambda c, out: n.groupBy("resolution", "part", c).agg(F.sum("n").alias(out))
+    v = n.join(of("_ref", "_a"), ["resolution", "part", "_ref"]).join(of("cluster", "_b"), ["resolution", "part", "cluster"])
+    return v.groupBy("resolution", F.col("_ref").alias("cluster"), F.col("part").alias("boot")).agg(F.max(F.col("n") / (F.col("_a") + F.col("_b") - F.col("n"))).alias("jaccard"))
+
+
+def bootstrap_jaccards(
+    embedding: DataFrame, resolutions: Sequence[float], n_boot: int = 20, fraction: float = 0.8, k: int = 15, seed: int = 0,
+    adaptive: bool = True, initial: float = 0.3,
+) -> DataFrame:
+    """``resolution, cluster, boot, jaccard``: how well subsamples recover each cluster of the full data.
+
+    Adaptive: a first round draws ``initial`` of the subsamples for every resolution; what is left of the
+    budget goes where the first round was uncertain or stability changes (``bootstrap_allocation``).
+    Subsamples are hashed, so draw b is the same for every resolution. Clusters of which no cell is
+    drawn have no row.
+    """
+    sweep = [float(x) for x in resolutions]
+    full = knn_graph(knn(embedding, embedding, k)).select(F.lit(-1).alias("part"), "src", "dst", "weight")
+    plan = embedding.sparkSession.createDataFrame([(-1, x) for x in sweep], "part int, resolution double")
+    refs = materialise(communities.communities_of_parts(materialise(full, "graph"), plan, seed), "clusters")
+    first = min(n_boot, max(1, round(n_boot * initial))) if adaptive else n_boot
+    rows = materialise(_boot_jaccards(embedding, refs, {b: sweep for b in range(first)}, fraction, k, seed), "jaccards")
+    if n_boot > first:
+        extra = {r.resolution: r.extra for r in bootstrap_allocation(rows, (n_boot - first) * len(sweep)).collect()}
+        draws = {first + b: [x for x in sweep if extra[x] > b] for b in range(max(extra.values()))}
+        if draws:
+            rows = rows.unionByName(materialise(_boot_jaccards(embedding, refs, draws, fraction, k, seed), "jaccards"))
+    return rows
+
+
 def resolution_stability(
-    embedding: DataFrame, resolutions: Sequence[float], n_boot: int = 4, fraction: float = 0.8, k: int = 15, seed: int = 0
+    embedding: DataFrame, resolutions: Sequence[float], n_boot: int = 20, fraction: float = 0.8, k: int = 15, seed: int = 0,
+    adaptive: bool = True, initial: float = 0.3,
 ) -> DataFrame:
-    """Recluster hashed subsamples and recover each reference cluster, per resolution."""
-    full = materialise(knn_graph(knn(embedding, embedding, k)), "graph")
-    refs = {res: materialise(graph_cluster(full, res), "clusters") for res in resolutions}
-    rows = None
-    for b in range(n_boot):
-        keep = F.pmod(F.xxhash64(F.lit(seed), F.lit(b), "cell"), F.lit(1000)) < int(1000 * fraction)
-        sub = materialise(embedding.filter(keep), "boot")
-        graph = materialise(knn_graph(knn(sub, sub, k)), "graph")
-        for res in resolutions:
-            got = max_jaccard(refs[res], graph_cluster(graph, res)).withColumns({"resolution": F.lit(float(res)), "boot": F.lit(b)})
-            rows = got if rows is None else rows.unionByName(got)
-    return stability_summary(rows, ["resolution", "cluster"])
+    """Median, quartiles and number of the recovered Jaccards of each cluster and resolution."""
+    return stability_summary(bootstrap_jaccards(embedding, resolutions, n_boot, fraction, k, seed, adaptive, initial), ["resolution", "cluster"])
 
 
 def donor_gate(

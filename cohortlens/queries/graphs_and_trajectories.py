@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import communities as c
 from ..operators import neighbors as k
 from ..operators import trajectory as t
 from ..session import materialise
@@ -42,6 +43,38 @@ def f2(spark, sf):
     return k.graph_cluster(k.knn_graph(nearest(spark, sf)), 1.0)
 
 
+@query("f2_cluster_certificate", "SELECT unnest(['no_move_gains', 'clusters_connected', 'modularity_not_below']) AS \"check\", true AS passed")
+def f2_certificate(spark, sf):
+    """What the clusters must hold whatever they are: checked against the graph and the embedding's labels."""
+    graph = materialise(k.knn_graph(nearest(spark, sf)), "graph")
+    labels = b.embedding(spark, sf).select("cell", F.col("label").alias("cluster"))
+    return c.certificate(graph, materialise(k.graph_cluster(graph, 1.0), "clusters"), labels)
+
+
+@query(
+    "f2_modularity",
+    GRAPH_SQL
+    + """, p AS (SELECT x.label AS a, y.label AS b, weight AS w FROM ed JOIN emb x ON x.cell = src JOIN emb y ON y.cell = dst WHERE src <> dst), t AS (SELECT a, SUM(w) AS tot, SUM(CASE WHEN a = b THEN w ELSE 0 END) AS i FROM p GROUP BY 1)
+    SELECT round(SUM(i) / SUM(tot) - 1.5 * SUM(tot * tot) / (SUM(tot) * SUM(tot)), 8) AS modularity, COUNT(*) AS n_clusters FROM t""",
+)
+def f2_modularity(spark, sf):
+    labels = b.embedding(spark, sf).select("cell", F.col("label").alias("cluster"))
+    return r(c.modularity(k.knn_graph(nearest(spark, sf)), labels, 1.5), "modularity", places=8)
+
+
+@query(
+    "f2_move_gains",
+    GRAPH_SQL
+    + """, e2 AS (SELECT src, dst, weight FROM ed WHERE src <> dst), k AS (SELECT src, SUM(weight) AS k FROM e2 GROUP BY 1), s AS (SELECT k.src, k.k, label FROM k JOIN emb ON emb.cell = k.src), m AS (SELECT SUM(k) AS m FROM k), t AS (SELECT label, SUM(k) AS tot FROM s GROUP BY 1),
+    o AS (SELECT e2.src, x.label AS c, SUM(weight) AS w FROM e2 JOIN s x ON x.src = dst GROUP BY 1, 2 UNION ALL SELECT src, label, 0 FROM s), q AS (SELECT src, c, SUM(w) AS w FROM o GROUP BY 1, 2),
+    g AS (SELECT q.src, c, c = s.label AS own, w / k - (tot - CASE WHEN c = s.label THEN k ELSE 0 END) / m AS g FROM q JOIN s ON s.src = q.src JOIN t ON t.label = c, m)
+    SELECT src AS cell, round(GREATEST(MAX(g) - MAX(CASE WHEN own THEN g END), 0), 7) AS rise FROM g GROUP BY 1""",
+)
+def f2_gains(spark, sf):
+    labels = b.embedding(spark, sf).select("cell", F.col("label").alias("cluster"))
+    return r(c.move_gains(k.knn_graph(nearest(spark, sf)), labels), "rise", places=7)
+
+
 VOTES_SQL = KNN_SQL + """, vt AS (SELECT kn.cell, l.label, COUNT(*) AS n FROM kn JOIN emb l ON l.cell = kn.neighbor GROUP BY 1, 2), vr AS (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY n DESC, label) AS rn FROM vt)"""
 
 
@@ -72,9 +105,28 @@ def f4_summary(spark, sf):
     return r(out, "median", "q25", "q75", places=9)
 
 
+@query(
+    "f4_bootstrap_allocation",
+    with_sql("cells")
+    + """, x AS (SELECT library, label2 AS a, cell_type AS c, COUNT(*) AS n FROM cells GROUP BY 1, 2, 3), y AS (SELECT library, a, n / (SUM(n) OVER (PARTITION BY library, a) + SUM(n) OVER (PARTITION BY library, c) - n) AS j FROM x),
+    z AS (SELECT CAST(library AS DOUBLE) AS resolution, a, MAX(j) AS m FROM y GROUP BY 1, 2), s AS (SELECT resolution, median(m) AS md, quantile_cont(m, 0.75) - quantile_cont(m, 0.25) AS iqr FROM z GROUP BY 1),
+    d AS (SELECT resolution, iqr, COALESCE(GREATEST(abs(md - lag(md) OVER w), abs(md - lead(md) OVER w)), 0) AS st FROM s WINDOW w AS (ORDER BY resolution)),
+    p AS (SELECT resolution, (iqr - MIN(iqr) OVER ()) / (MAX(iqr) OVER () - MIN(iqr) OVER ()) + (st - MIN(st) OVER ()) / (MAX(st) OVER () - MIN(st) OVER ()) AS p FROM d)
+    SELECT resolution, CAST(round_even(p / SUM(p) OVER () * 40, 0) AS BIGINT) AS extra FROM p""",
+)
+def f4_allocation(spark, sf):
+    """Libraries stand for resolutions, segments for the clusters found at them."""
+    cells = b.cells(spark, sf).select("library", F.col("label2").alias("a"), F.col("cell_type").alias("c"))
+    n = cells.groupBy("library", "a", "c").agg(F.count(F.lit(1)).alias("n"))
+    of = lambda x: n.groupBy("library", x).agg(F.sum("n").alias(f"_{x}"))
+    j = n.join(of("a"), ["library", "a"]).join(of("c"), ["library", "c"])
+    j = j.groupBy(F.col("library").cast("double").alias("resolution"), "a").agg(F.max(F.col("n") / (F.col("_a") + F.col("_c") - F.col("n"))).alias("jaccard"))
+    return k.bootstrap_allocation(j, 40)
+
+
 @query("f4_resolution_stability")
 def f4_resolution(spark, sf):
-    return k.resolution_stability(b.embedding(spark, sf), [1.0], n_boot=2)
+    return k.resolution_stability(b.embedding(spark, sf), [0.5, 1.0, 1.5], n_boot=4)
 
 
 @query(

@@ -26,7 +26,8 @@ def written_mtx(spark, sf):
     o = b.table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("C"), F.col("o_orderkey").cast("string"), F.lit("-1")).alias("value"))
     o.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey").select("value").write.text(f"{folder}/barcodes.tsv")
     c = b.counts(spark, sf).select(F.concat_ws(" ", (F.col("gene").cast("long") + 1).cast("string"), (F.col("cell").cast("long") + 1).cast("string"), F.col("value").cast("long").cast("string")).alias("value"), F.lit(1).alias("k"))
-    head = spark.createDataFrame([("%%MatrixMarket matrix coordinate integer general", -1), ("0 0 0", 0)], "value string, k int")
+    dims = " ".join(str(n.count()) for n in (p, o, c))
+    head = spark.createDataFrame([("%%MatrixMarket matrix coordinate integer general", -1), (dims, 0)], "value string, k int")
     c.unionByName(head).repartitionByRange(4, "k", "value").sortWithinPartitions("k", "value").select("value").write.text(f"{folder}/matrix.mtx")
     return folder
 
