@@ -223,3 +223,8 @@ def mann_whitney_p(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series(
         [math.nan if a is None or b is None else mann_whitney_two_sided(a, b) for a, b in zip(x, y)]
     )
+
+
+@pandas_udf(DoubleType())
+def log_gamma(x: pd.Series) -> pd.Series:
+    return pd.Series(_lgamma(x.to_numpy(dtype=float)))

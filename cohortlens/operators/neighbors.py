@@ -563,25 +563,48 @@ def silhouette(embedding: DataFrame, labels: DataFrame) -> float:
     return float(ClusteringEvaluator().evaluate(data))
 
 
-def integration_metrics(embeddings: dict[str, DataFrame], batch: DataFrame, label: DataFrame, k: int = 15, alpha: float = 0.05) -> DataFrame:
-    """Mixing and conservation scores of each embedding and their weighted rank."""
+def integration_metrics(
+    embeddings: dict[str, DataFrame], batch: DataFrame, label: DataFrame, k: int = 15, alpha: float = 0.05, resolution: float = 1.0
+) -> DataFrame:
+    """Mixing and conservation scores of each embedding and their weighted rank.
+
+    The neighbour graphs of all embeddings are clustered side by side, in one run of the loop.
+    """
     from ..functions import tails
+    from . import integration as g
 
     n_b, n_l = batch.select("label").distinct().count(), label.select("label").distinct().count()
+    near = {name: materialise(knn(emb, emb, k), "nb") for name, emb in embeddings.items()}
+    graphs = {name: materialise(knn_graph(nb), "graph") for name, nb in near.items()}
+    sides = None
+    for name, graph in graphs.items():
+        own = graph.select(F.lit(name).alias("part"), "src", "dst", "weight")
+        sides = own if sides is None else sides.unionByName(own)
+    plan = batch.sparkSession.createDataFrame([(name, float(resolution)) for name in embeddings], "part string, resolution double")
+    agreed = materialise(g.cluster_agreement(communities.communities_of_parts(sides, plan), label, ("part",)), "agreed")
     rows = None
     for name, emb in embeddings.items():
-        nb = materialise(knn(emb, emb, k), "nb")
-        il = lisi(nb, batch).agg(((F.avg("lisi") - 1) / max(n_b - 1, 1)).alias("ilisi"))
-        cl = lisi(nb, label).agg((1 - (F.avg("lisi") - 1) / max(n_l - 1, 1)).alias("clisi"))
-        kb = batch_rejection(nb, batch).agg((1 - F.avg((tails.chi2_sf("chi2", "df") < alpha).cast("double"))).alias("kbet"))
-        pc = pc_regression(emb, batch)
-        tr = transfer_labels(nb, label).select("cell", F.col("label").alias("_l")).join(label.select("cell", F.col("label").alias("_t")), "cell").agg(F.avg((F.col("_l") == F.col("_t")).cast("double")).alias("label_agreement"))
-        row = attach(attach(attach(attach(il, cl, []), kb, []), pc, []), tr, []).withColumns(
-            {"embedding": F.lit(name), "label_silhouette": F.lit((silhouette(emb, label) + 1) / 2)}
-        )
+        nb = near[name]
+        parts = [
+            lisi(nb, batch).agg(((F.avg("lisi") - 1) / max(n_b - 1, 1)).alias("ilisi")),
+            lisi(nb, label).agg((1 - (F.avg("lisi") - 1) / max(n_l - 1, 1)).alias("clisi")),
+            batch_rejection(nb, batch).agg((1 - F.avg((tails.chi2_sf("chi2", "df") < alpha).cast("double"))).alias("kbet")),
+            pc_regression(emb, batch),
+            g.graph_connectivity(graphs[name], label).agg(F.avg("connectivity").alias("graph_connectivity")),
+            g.batch_silhouette(emb, label, batch).agg(F.avg("score").alias("batch_silhouette")),
+            agreed.filter(F.col("part") == name).select("nmi", "ari"),
+            transfer_labels(nb, label).select("cell", F.col("label").alias("_l")).join(label.select("cell", F.col("label").alias("_t")), "cell").agg(F.avg((F.col("_l") == F.col("_t")).cast("double")).alias("label_agreement")),
+        ]
+        row = parts[0]
+        for more in parts[1:]:
+            row = attach(row, more, [])
+        row = row.withColumns({"embedding": F.lit(name), "label_silhouette": F.lit((silhouette(emb, label) + 1) / 2)})
         rows = row if rows is None else rows.unionByName(row)
-    score = 0.4 * (F.col("ilisi") + F.col("kbet") + (1 - F.col("pcr"))) / 3 + 0.6 * (F.col("clisi") + F.col("label_agreement") + F.col("label_silhouette")) / 3
-    return rows.withColumn("total", score).withColumn("rank", F.rank().over(W.partitionBy(F.lit(0)).orderBy(F.col("total").desc())))
+    mean = lambda *c: sum((F.coalesce(x, F.lit(0.0)) for x in c), F.lit(0.0)) / len(c)
+    mixing = mean(F.col("ilisi"), F.col("kbet"), 1 - F.col("pcr"), F.col("graph_connectivity"), F.col("batch_silhouette"))
+    kept = mean(F.col("clisi"), F.col("label_agreement"), F.col("label_silhouette"), F.col("nmi"), F.col("ari"))
+    rows = materialise(rows, "metrics")
+    return rows.withColumn("total", 0.4 * mixing + 0.6 * kept).withColumn("rank", F.rank().over(W.partitionBy(F.lit(0)).orderBy(F.col("total").desc())))
 
 
 def neighbourhood_counts(neighbors: DataFrame, cells: DataFrame, sample: Sequence[str], prop: float = 0.1, seed: int = 0) -> DataFrame:

@@ -838,12 +838,13 @@ def merge_metrics(cells: DataFrame, metrics: DataFrame, on: str = "cell", atol:
 
 
 def ambient_correct(
-    raw: DataFrame, cells: DataFrame, rho: float, max_droplet_counts: float | None = 100.0, to_int: bool = False
+    raw: DataFrame, cells: DataFrame, rho: float | DataFrame, max_droplet_counts: float | None = 100.0, to_int: bool = False
 ) -> DataFrame:
     """Subtract the expected ambient share of each count.
 
     The profile comes from raw droplets that are not called cells and stay under
-    ``max_droplet_counts``; ``value - rho · depth · profile`` is floored at zero.
+    ``max_droplet_counts``; ``value - rho · depth · profile`` is floored at zero. ``rho`` is one
+    number, or ``(cell, rho)`` as ``ambient.rho_of_cells`` gives it; cells without one keep their counts.
     """
     empty = raw.join(cells.select("cell"), "cell", "left_anti")
     if max_droplet_counts is not None:
@@ -854,6 +855,9 @@ def ambient_correct(
     profile = attach(per_gene, whole, []).select("gene", (F.col("g") / F.col("all")).alias("share"))
     kept = raw.join(cells.select("cell"), "cell", "left_semi")
     depth = kept.groupBy("cell").agg(F.sum("value").alias("depth"))
+    if isinstance(rho, DataFrame):
+        depth = depth.join(rho.select("cell", "rho"), "cell", "left").select("cell", (F.col("depth") * F.coalesce("rho", F.lit(0.0))).alias("depth"))
+        rho = 1.0
     left = F.greatest(
         F.lit(0.0),
         F.col("value") - rho * F.col("depth") * F.coalesce(F.col("share"), F.lit(0.0)),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import communities as c
+from ..operators import integration as g
 from ..operators import neighbors as k
 from ..operators import trajectory as t
 from ..session import materialise
@@ -327,8 +328,51 @@ def e7_pcr(spark, sf):
 def e7_all(spark, sf):
     e = b.embedding(spark, sf)
     batch = embedded_cells(spark, sf).select("cell", F.col("donor").alias("label"))
-    half = e.withColumn("vec", F.slice("vec", 1, 8))
-    return k.integration_metrics({"full": e, "first8": half}, batch, e.select("cell", "label"))
+    # the same vectors with an offset for each donor: batches stand apart in it
+    offset = F.col("donor").cast("double") / 20
+    apart = e.join(batch.select("cell", F.col("label").alias("donor")), "cell").withColumn("vec", F.transform(F.col("vec").cast("array<double>"), lambda x: x + offset))
+    return k.integration_metrics({"full": e, "apart": apart.select("cell", "vec")}, batch, e.select("cell", "label"))
+
+
+E7_SQL = """, d AS (SELECT cell, label, CAST(CAST(cell AS BIGINT) % 7 AS VARCHAR) AS batch, vec::DOUBLE[] AS v FROM emb)"""
+
+
+@query(
+    "e7_batch_silhouette",
+    with_sql("embedding", extra=E7_SQL.lstrip(", "))
+    + """, p AS (SELECT a.cell, a.label, a.batch, c.batch AS other, SUM(pow(list_distance(a.v, c.v), 2)) AS s, COUNT(*) FILTER (a.cell <> c.cell) AS n FROM d a JOIN d c ON a.label = c.label GROUP BY 1, 2, 3, 4),
+    q AS (SELECT cell, label, MAX(CASE WHEN batch = other AND n > 0 THEN s / n END) AS a, MIN(CASE WHEN batch <> other THEN s / n END) AS b FROM p GROUP BY 1, 2)
+    SELECT label, COUNT(*) AS n, round(AVG(1 - abs(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / GREATEST(a, b) END)), 6) AS score FROM q GROUP BY 1""",
+)
+def e7_batch_silhouette(spark, sf):
+    e = b.embedding(spark, sf)
+    batch = embedded_cells(spark, sf).select("cell", F.col("donor").alias("label"))
+    return r(g.batch_silhouette(e, e.select("cell", "label"), batch), "score")
+
+
+@query(
+    "e7_graph_connectivity",
+    GRAPH_SQL.replace("WITH emb", "WITH RECURSIVE emb", 1)
+    + """, ii AS (SELECT src, dst FROM ed JOIN emb x ON x.cell = src JOIN emb y ON y.cell = dst WHERE x.label = y.label AND src <> dst), rr AS (SELECT cell AS a, cell AS b FROM emb UNION SELECT rr.a, ii.dst FROM rr JOIN ii ON rr.b = ii.src),
+    cc AS (SELECT a, MIN(b) AS c FROM rr GROUP BY 1), sz AS (SELECT label, c, COUNT(*) AS m FROM cc JOIN emb ON emb.cell = a GROUP BY 1, 2)
+    SELECT label, CAST(SUM(m) AS BIGINT) AS n, MAX(m) AS largest, round(MAX(m) / SUM(m), 9) AS connectivity FROM sz GROUP BY 1""",
+)
+def e7_connectivity(spark, sf):
+    return r(g.graph_connectivity(k.knn_graph(nearest(spark, sf)), b.embedding(spark, sf)), "connectivity", places=9)
+
+
+@query(
+    "e7_cluster_agreement",
+    with_sql("cells")
+    + """, x AS (SELECT donor, concat(library, condition) AS a, label2 AS b, COUNT(*)::DOUBLE AS n FROM cells GROUP BY 1, 2, 3), sa AS (SELECT donor, a, SUM(n) AS n FROM x GROUP BY 1, 2), sb AS (SELECT donor, b, SUM(n) AS n FROM x GROUP BY 1, 2),
+    e AS (SELECT donor, SUM(n) AS t, SUM(n * ln(n)) AS e, SUM(n * (n - 1) / 2) AS c FROM x GROUP BY 1), ea AS (SELECT donor, SUM(n * ln(n)) AS e, SUM(n * (n - 1) / 2) AS c FROM sa GROUP BY 1), eb AS (SELECT donor, SUM(n * ln(n)) AS e, SUM(n * (n - 1) / 2) AS c FROM sb GROUP BY 1)
+    SELECT donor, round((ln(t) - ea.e / t - eb.e / t + e.e / t) / ((2 * ln(t) - ea.e / t - eb.e / t) / 2), 7) AS nmi,
+    round((e.c - ea.c * eb.c / (t * (t - 1) / 2)) / ((ea.c + eb.c) / 2 - ea.c * eb.c / (t * (t - 1) / 2)), 7) AS ari FROM e JOIN ea USING (donor) JOIN eb USING (donor)""",
+)
+def e7_agreement(spark, sf):
+    cells = b.cells(spark, sf)
+    found = cells.select("donor", "cell", F.concat("library", "condition").alias("cluster"))
+    return r(g.cluster_agreement(found, cells.select("cell", F.col("label2").alias("label")), ("donor",)), "nmi", "ari", places=7)
 
 
 @query("e7_connected_components")

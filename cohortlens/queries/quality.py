@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import ambient
 from ..operators import quality as q
 from ..session import materialise
 from . import bindings as b
@@ -563,3 +564,41 @@ def c28(spark, sf):
 def c29(spark, sf):
     kept = metrics(spark, sf).filter(F.col("n_genes_by_counts") >= 3).select("cell")
     return r(q.ambient_correct(b.counts(spark, sf), kept, 0.1), "value")
+
+
+PAIRS_SQL = """, kept AS (SELECT cell, library, cell_type AS cluster FROM metrics WHERE n_genes_by_counts >= 4),
+    em AS (SELECT library, gene, SUM(value) AS g FROM counts JOIN cells USING (cell) WHERE cell NOT IN (SELECT cell FROM kept) AND cell IN (SELECT cell FROM counts GROUP BY 1 HAVING SUM(value) < 100) GROUP BY 1, 2),
+    pf AS (SELECT library, gene, g / SUM(g) OVER (PARTITION BY library) AS share FROM em), ow AS (SELECT library, cluster, gene, value FROM counts JOIN kept USING (cell) WHERE value > 0),
+    nn AS (SELECT library, cluster, COUNT(*) AS n FROM kept GROUP BY 1, 2), dp AS (SELECT library, cluster, SUM(value) AS depth FROM ow GROUP BY 1, 2), se AS (SELECT library, cluster, gene, SUM(value) AS observed, COUNT(*) AS m FROM ow GROUP BY 1, 2, 3),
+    tt AS (SELECT library, SUM(n) AS a FROM nn GROUP BY 1), sp AS (SELECT library, gene, SUM(m) AS h FROM se GROUP BY 1, 2),
+    mk AS (SELECT DISTINCT library, gene FROM se JOIN nn USING (library, cluster) JOIN tt USING (library) JOIN sp USING (library, gene) WHERE m / n * ln(a / h) >= 0.03),
+    br AS (SELECT library, quantile_cont(share, 0.6) AS bar FROM pf GROUP BY 1), mp AS (SELECT library, gene, share FROM pf JOIN br USING (library) JOIN mk USING (library, gene) WHERE share >= bar),
+    pr AS (SELECT mp.library, dp.cluster, mp.gene, COALESCE(se.observed, 0) AS observed, depth * share AS expected FROM mp JOIN dp ON dp.library = mp.library LEFT JOIN se ON se.library = mp.library AND se.cluster = dp.cluster AND se.gene = mp.gene),
+    sl AS (SELECT *, observed = 0 OR 1 - list_sum(list_transform(range(0, CAST(ceil(observed) AS BIGINT)), lambda i: exp(i * ln(0.8 * expected) - 0.8 * expected - lgamma(i + 1)))) >= 0.05 AS silent FROM pr)"""
+
+
+def contamination_pairs(spark, sf):
+    m = metrics(spark, sf)
+    kept = m.filter(F.col("n_genes_by_counts") >= 4).select("cell", F.col("cell_type").alias("cluster"))
+    raw, droplets = b.counts(spark, sf), b.cells(spark, sf).select("cell", "library")
+    return ambient.silent_pairs(raw, droplets, kept, materialise(ambient.ambient_profile(raw, droplets, kept), "profile"), min_tfidf=0.03, soup_quantile=0.6)
+
+
+@query(
+    "c29_silent_pairs",
+    with_sql("counts", "cells", "genes", "metrics").rstrip() + PAIRS_SQL + " SELECT library, cluster, gene, observed, round(expected, 6) AS expected, silent FROM sl",
+)
+def c29_pairs(spark, sf):
+    return r(contamination_pairs(spark, sf), "expected")
+
+
+@query(
+    "c29_estimate_rho",
+    with_sql("counts", "cells", "genes", "metrics").rstrip()
+    + PAIRS_SQL
+    + """, s AS (SELECT library, observed + 0.25 AS a, expected + 5 AS b FROM sl WHERE silent), dn AS (SELECT library, i * 0.001 AS rho, round(AVG(exp(a * ln(b) - lgamma(a) + (a - 1) * ln(i * 0.001) - b * i * 0.001)), 9) AS d FROM s, range(1, 801) g(i) GROUP BY 1, 2),
+    md AS (SELECT library, rho FROM (SELECT *, row_number() OVER (PARTITION BY library ORDER BY d DESC, rho) AS rn FROM dn) WHERE rn = 1)
+    SELECT library, round(rho::DOUBLE, 6) AS rho, round(SUM(observed) / SUM(expected), 6) AS pooled, COUNT(*) AS n_pairs FROM sl JOIN md USING (library) WHERE silent GROUP BY library, rho""",
+)
+def c29_rho(spark, sf):
+    return r(ambient.estimate_rho(contamination_pairs(spark, sf)), "rho", "pooled")
