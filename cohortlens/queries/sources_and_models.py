@@ -347,6 +347,11 @@ def c14(spark, sf):
     return fits.doublet_knn_score(b.dense_counts(spark, sf), b.dense_cells(spark, sf), "donor", brands(spark, sf), n_pcs=5, k=10)
 
 
+@query("c14_doublet_calls")
+def c14_calls(spark, sf):
+    return fits.call_doublets(b.dense_counts(spark, sf), b.dense_cells(spark, sf), "cell_type", brands(spark, sf), n_pcs=5, k=10)
+
+
 def mixture(spark, sf):
     m = metrics(spark, sf).filter(F.col("total_counts") > 0)
     return fits.mito_mixture(m, "cell_type", max_iter=30)
