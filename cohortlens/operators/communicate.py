@@ -103,6 +103,24 @@ def receiver_genes(de: DataFrame, fdr: float = 0.05, top: int = 200, direction:
     return de.filter((F.col("fdr") < fdr) & sign).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= top).select("gene")
 
 
+def expressed_genes(counts: DataFrame, cells: DataFrame, group: str, prop: float = 0.1) -> DataFrame:
+    """``group, gene, fraction``: genes that at least ``prop`` of a group's cells have a count of."""
+    sizes = cells.groupBy(F.col(group).alias("group")).agg(F.count(F.lit(1)).alias("_n"))
+    have = counts.filter("value > 0").join(cells.select("cell", F.col(group).alias("group")), "cell").groupBy("group", "gene").agg(F.count(F.lit(1)).alias("_m"))
+    return have.join(sizes, "group").select("group", "gene", (F.col("_m") / F.col("_n")).alias("fraction")).filter(F.col("fraction") >= prop)
+
+
+def potential_ligands(pairs: DataFrame, expressed: DataFrame, senders: Sequence[str], receiver: str) -> DataFrame:
+    """``ligand``: ligands some sender expresses that have a receptor the receiver expresses.
+
+    ``pairs`` is ``(ligand, receptor)``, ``expressed`` comes from ``expressed_genes``. The result is what
+    ``ligand_activity`` takes as ``ligands``; with no ligand left it is empty.
+    """
+    sent = expressed.filter(F.col("group").isin(list(senders))).select(F.col("gene").alias("ligand")).distinct()
+    met = expressed.filter(F.col("group") == receiver).select(F.col("gene").alias("receptor"))
+    return pairs.join(sent, "ligand", "left_semi").join(met, "receptor", "left_semi").select("ligand").distinct()
+
+
 def ligand_activity(targets: DataFrame, genes: DataFrame, background: DataFrame, ligands: DataFrame | None = None) -> DataFrame:
     """Pearson and AUPR of each ligand's target weights against membership in the receiver set.
 

@@ -336,6 +336,32 @@ def m3(spark, sf):
     return r(m.ligand_activity(t, bg.filter(F.col("gene").startswith("PROMO/")), bg), "pearson", "aupr")
 
 
+EXPRESSED_SQL = """, sz AS (SELECT cell_type AS g, COUNT(*) AS n FROM dcells GROUP BY 1), ex AS (SELECT g AS "group", gene, COUNT(*) / n AS fraction FROM dense JOIN dcells USING (cell) JOIN sz ON g = cell_type WHERE value > 0 GROUP BY g, gene, n HAVING COUNT(*) / n >= 0.8)"""
+
+
+def expressed(spark, sf):
+    return m.expressed_genes(b.dense_counts(spark, sf), b.dense_cells(spark, sf), "cell_type", 0.8)
+
+
+@query("m3_expressed_genes", with_sql("dense", "dcells").rstrip() + EXPRESSED_SQL + ' SELECT "group", gene, round(fraction, 6) AS fraction FROM ex')
+def m3_expressed(spark, sf):
+    return r(expressed(spark, sf), "fraction")
+
+
+@query(
+    "m3_potential_ligands",
+    with_sql("dense", "dcells").rstrip()
+    + EXPRESSED_SQL
+    + """, lr AS (SELECT DISTINCT a.p_brand AS ligand, c.p_brand AS receptor FROM part a JOIN part c ON c.p_partkey = a.p_partkey + 1 WHERE a.p_size < 9)
+    SELECT DISTINCT ligand FROM lr WHERE ligand IN (SELECT gene FROM ex WHERE "group" IN ('BUILDING', 'MACHINERY')) AND receptor IN (SELECT gene FROM ex WHERE "group" = 'FURNITURE')""",
+)
+def m3_potential(spark, sf):
+    p = b.table(spark, sf, "part")
+    follow = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_brand").alias("receptor"))
+    pairs = p.filter("p_size < 9").join(follow, "p_partkey").select(F.col("p_brand").alias("ligand"), "receptor").distinct()
+    return m.potential_ligands(pairs, expressed(spark, sf), ["BUILDING", "MACHINERY"], "FURNITURE")
+
+
 @query(
     "m3_top_targets",
     """WITH t AS (SELECT p_brand AS ligand, concat(p_type, '/', p_size) AS gene, SUM(p_retailprice) AS weight FROM part GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY ligand ORDER BY round(weight, 4) DESC, gene) AS rank FROM t WHERE gene LIKE 'PROMO/%') SELECT ligand, gene, round(weight, 4) AS weight, rank FROM k WHERE rank <= 5""",

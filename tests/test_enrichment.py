@@ -102,3 +102,15 @@ def test_alignment_ignores_missing_labels(spark):
     assert rows(partitions.align_partitions({"a": a, "b": b}), "cell", "a", "b") == [("c1", "x", "y")]
     assert rows(partitions.partition_coverage({"a": a, "b": b}), "partition", "n_cells", "n_shared") == [("a", 1, 1), ("b", 3, 1)]
     assert partitions.cell_cycle_phase(F.lit(0.0), F.lit(0.0)) is not None
+
+
+def test_expressed_fraction_limits_ligands(spark):
+    from cohortlens.operators import communicate as m
+
+    cells = spark.createDataFrame([(f"c{i}", "s" if i < 4 else "r") for i in range(8)], "cell string, kind string")
+    counts = [("c0", "L1", 1.0), ("c1", "L1", 2.0), ("c0", "L2", 1.0), ("c2", "L2", 0.0), ("c4", "R1", 1.0), ("c5", "R1", 1.0), ("c6", "R2", 3.0), ("c4", "L3", 1.0), ("c5", "L3", 1.0)]
+    found = m.expressed_genes(spark.createDataFrame(counts, "cell string, gene string, value double"), cells, "kind", 0.5)
+    assert {(r.group, r.gene, r.fraction) for r in found.collect()} == {("s", "L1", 0.5), ("r", "R1", 0.5), ("r", "L3", 0.5)}
+    pairs = spark.createDataFrame([("L1", "R1"), ("L1", "R2"), ("L2", "R1"), ("L3", "R1")], "ligand string, receptor string")
+    assert [r.ligand for r in m.potential_ligands(pairs, found, ["s"], "r").collect()] == ["L1"]
+    assert m.potential_ligands(pairs, found.limit(0), ["s"], "r").count() == 0
