@@ -64,6 +64,13 @@ def signed_weights(panels: DataFrame, bins: DataFrame, controls: DataFrame) -> D
     return sides[0].unionByName(sides[1])
 
 
+def panel_support(panels: DataFrame, genes: DataFrame) -> DataFrame:
+    """``source, n_targets, n_present, usable``: how many genes of each panel were measured; panels without any cannot be voted for."""
+    own = panels.select("source", "target").distinct()
+    have = own.join(genes.select(F.col("gene").alias("target"), F.lit(1).alias("_in")).distinct(), "target", "left")
+    return have.groupBy("source").agg(F.count(F.lit(1)).alias("n_targets"), F.count("_in").alias("n_present")).withColumn("usable", F.col("n_present") > 0)
+
+
 def marker_vote(
     layer: DataFrame, cells: DataFrame, cluster: str, panels: DataFrame,
     n_perm: int = 100, alpha: float = 0.05, seed: int = 0, n_bins: int = 25,

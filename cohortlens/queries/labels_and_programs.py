@@ -219,6 +219,20 @@ def h1(spark, sf):
     return r(out, "score")
 
 
+@query(
+    "h1_panel_support",
+    with_sql("counts", "cells")
+    + """, g AS (SELECT DISTINCT gene FROM counts JOIN cells USING (cell) WHERE condition = 'P'), p AS (SELECT concat(p_brand, '/', p_size) AS source, CAST(p_partkey AS VARCHAR) AS target FROM part)
+    SELECT source, COUNT(*) AS n_targets, COUNT(gene) AS n_present, COUNT(gene) > 0 AS usable FROM p LEFT JOIN g ON gene = target GROUP BY 1""",
+)
+def h1_support(spark, sf):
+    """Panels of one brand and size against the parts that pending orders hold."""
+    part = b.table(spark, sf, "part")
+    panels = part.select(F.concat_ws("/", "p_brand", F.col("p_size").cast("string")).alias("source"), F.col("p_partkey").cast("string").alias("target"))
+    pending = b.cells(spark, sf).filter("condition = 'P'").select("cell")
+    return h.panel_support(panels, b.counts(spark, sf).join(pending, "cell", "left_semi").select("gene"))
+
+
 @query("h1_marker_vote")
 def h1_vote(spark, sf):
     return h.marker_vote(lognorm(spark, sf), b.dense_cells(spark, sf), "cell_type", panels(spark, sf), n_bins=5)
