@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_memory
+
 #: Words and segments a task remembers; it forgets them all when there are more.
 MAX_WORDS = 700_000
 #: Words of one recursive query, tokens of one decoding query, and bytes from which words count as long.
@@ -105,6 +107,11 @@ class Codec:
         self.db.execute("CREATE TABLE vocab AS SELECT id, part FROM vocab_arrow")
         self.single = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
 
+    def forget(self) -> None:
+        """Drop the remembered words and segments."""
+        self.words.clear()
+        self.known.clear()
+
     def learn(self, words: set[str]) -> None:
         """Ids of words not met before: a word that is a token is that token, others are contracted."""
         todo: list[tuple[str, bytes]] = []
@@ -140,8 +147,7 @@ class Codec:
         """Token ids of each text."""
         pieces = [SEGMENT_END.split(t) for t in texts]
         if len(self.words) > MAX_WORDS or len(self.known) > MAX_WORDS:
-            self.words.clear()
-            self.known.clear()
+            self.forget()
         known = self.known
         new = {s for p in pieces for s in p if s not in known}
         split = {s: [s] if WORD.fullmatch(s) else self.find(s) for s in new}
@@ -209,16 +215,24 @@ class Bpe:
                 start = end
 
     def encode(self, docs: DataFrame, text: str = "text", out: str = "ids") -> DataFrame:
-        """``docs`` with the token ids of each text as an array; none for null and empty texts."""
-        columns, this = docs.columns, self
+        """``docs`` with the token ids of each text as an array; none for null and empty texts.
+
+        A column named ``out`` is replaced. A task forgets its words when it ends, so that a worker
+        that goes on to other work holds no more than the vocabulary.
+        """
+        this, kept = self, [c for c in docs.columns if c != out]
+        names = [f"_{i}" for i in range(len(kept))]  # no name of the caller's can clash
 
         def run(frames):
+            codec = codec_of(this.shared)
             for pdf, ids, _ in this._batches(frames, "_t"):
                 yield pdf.drop(columns="_t").assign(_ids=[x.view(np.int32) for x in ids])
+            codec.forget()
+            release_memory()
 
-        kept = [c for c in columns if c != out]
-        schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", _ids array<int>"
-        return docs.select(*kept, F.col(text).alias("_t")).mapInPandas(run, schema).withColumnRenamed("_ids", out)
+        schema = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, kept)) + ", _ids array<int>"
+        plain = docs.select(*(F.col(f"`{c}`").alias(n) for n, c in zip(names, kept)), F.col(text).alias("_t"))
+        return plain.mapInPandas(run, schema).toDF(*kept, out)
 
     def decode(self, tokens: DataFrame, ids: str = "ids", out: str = "bytes") -> DataFrame:
         """``tokens`` with the bytes that each id array stands for; empty for null and empty arrays."""
