@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.session import materialise
 
+from .common import release_memory
+
 #: Labelled rows the lexicon and the classifier are learned from, at most (least hashes of ids first).
 MAX_LABELLED = 50_000
 #: Lexicon entries, lexicon voters they are dealt to in turn, and what an entry needs: the share of toxic
@@ -80,11 +83,12 @@ class Toxicity:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id: str, text: str) -> DataFrame:
-    """Bounded sample of learnable labels, one per distinct text: ``id, _toxic``."""
+    """Bounded sample of learnable labels, one per distinct text and one per id: ``id, _toxic``."""
     known = labels.filter(F.col(id).isNotNull() & F.col("toxic").isNotNull() & ~held_out(id)).groupBy(id).agg(F.max("toxic").alias("_toxic"))
     marked = docs.filter(F.col(id).isNotNull()).select(id, F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_same")).join(known, id)
     one = marked.groupBy("_same").agg(F.min(F.struct(id, "_toxic")).alias("r")).select(F.col(f"r.{id}"), "r._toxic")
-    return materialise(one.orderBy(F.xxhash64(id), id).limit(MAX_LABELLED), "labelled")
+    per_id = one.groupBy(id).agg(F.max("_toxic").alias("_toxic"))
+    return materialise(per_id.orderBy(F.xxhash64(id), id).limit(MAX_LABELLED), "labelled")
 
 
 def _lexicon(texts: DataFrame, text: str) -> tuple[dict[str, int], float]:
@@ -197,30 +201,34 @@ def _logistic(rows: list[list[int]], target: np.ndarray, size: int, penalty: flo
     return w, float(b)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[Toxicity, DataFrame]:
-    """The fitted model, and ``id, active`` for every row of ``docs``.
+def fit_toxicity(
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", active: str = "active", keep: list[str] | None = None
+) -> tuple[Toxicity, DataFrame]:
+    """The fitted model, and for every row of ``docs`` the columns ``keep`` (the id) and its votes in a column ``active``.
 
     The lexicon is learned from at most ``MAX_LABELLED`` labelled rows that are not held out, each
     distinct text once. Its entries, dealt to some voters, and the patterns vote; votes are counted over
     all texts, and the label model gives each text of the sample a posterior. The classifier is
     trained on those posteriors, over all entries and patterns. Labels of unknown ids, null labels
-    and repeated labels (the largest counts) do no harm; without toxic labels scores are near 0.
+    and repeated labels (the largest counts) do no harm; without toxic labels scores are near 0. An id
+    that many rows repeat is learned from once, by the least of its texts and of its votes.
     """
     spark = docs.sparkSession
     sample = _labelled(docs, labels.select(id, "toxic"), id, text)
-    # at most MAX_LABELLED rows of two numbers
-    texts = docs.select(id, text).join(F.broadcast(sample), id)
+    # at most MAX_LABELLED rows of two numbers; rows that repeat an id are folded before anything is learned or collected
+    texts = docs.select(id, text).join(F.broadcast(sample), id).groupBy(id, "_toxic").agg(F.min(text).alias(text))
     lexicon, share = _lexicon(texts, text)
     shared = spark.sparkContext.broadcast(lexicon)
-    shown = materialise(docs.select(id, F.pandas_udf(active_run(shared), "array<int>")(text).alias("active")), "active")
+    shown = materialise(docs.select(*(keep or [id]), F.pandas_udf(active_run(shared), "array<int>")(text).alias(active)), "active")
     size, voter = len(lexicon) + len(PATTERNS), voters_of(len(lexicon))
-    n, moments = _moments(shown, voter)
+    n, moments = _moments(shown.select(F.col(active).alias("active")), voter)
     if not lexicon or not n:
         return Toxicity(lexicon, np.zeros(size), -6.0, pd.DataFrame()), shown
     toxic, clean, trust = label_model(n, moments, share)
     evidence = trust * np.log(toxic / clean)
     prior = np.log(share / (1 - share))
-    learn = [list(r.active) for r in shown.join(F.broadcast(sample), id).select("active").collect()]  # bounded as above
+    of_sample = shown.select(id, F.col(active).alias("_votes")).join(F.broadcast(sample), id).groupBy(id).agg(F.min("_votes").alias("_votes"))
+    learn = [list(r._votes) for r in of_sample.orderBy(id).collect()]  # a row for each sampled id
     logit = np.array([prior + evidence[np.unique(voter[r])].sum() for r in learn])
     weights, bias = _logistic(learn, 1 / (1 + np.exp(-np.clip(logit, -30, 30))), size)
     names = [f"lexicon {i}" for i in range(min(LEXICON_VOTERS, len(lexicon)))] + [p for p, _ in PATTERNS]
@@ -228,8 +236,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: s
 
 
 def active_run(shared):
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([active(t, shared.value) for t in texts])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([active(t, shared.value) for t in texts])
+        release_memory()
 
     return run
 
@@ -243,16 +253,6 @@ def score_active(shown: DataFrame, model: Toxicity, indexes: str = "active") ->
     return F.pandas_udf(run, "double")(indexes)
 
 
-def score_texts(docs: DataFrame, model: Toxicity, text: str = "text") -> Column:
-    """Score (0 to 1) of each text, null and empty ones included."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(active(t, shared.value.lexicon)) for t in texts], dtype=float)
-
-    return F.pandas_udf(run, "double")(text)
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, held_out, score, predicted`` for every row of ``docs``, repeated rows and null ids too."""
     model, shown = fit_toxicity(docs, labels, id, text)
@@ -261,6 +261,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose score is below the threshold, all columns kept."""
-    model, _ = fit_toxicity(docs, labels, id, text)
-    return docs.filter(score_texts(docs, model, text) < THRESHOLD)
+    """Rows of ``docs`` whose score is below the threshold, all columns kept.
+
+    The rows are written with their votes, so that each text's votes are taken once.
+    """
+    votes = "_votes"
+    while votes in docs.columns:
+        votes += "_"
+    model, shown = fit_toxicity(docs, labels, id, text, votes, docs.columns)
+    return shown.filter(score_active(shown, model, votes) < THRESHOLD).select(*docs.columns)

@@ -14,6 +14,7 @@ import zlib
 from urllib.parse import quote, quote_plus
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.llm import bpe, chaining, fingerprint, jaccard_join, mixing, secret_scan, toxicity
 
@@ -266,6 +267,15 @@ def test_toxicity_learns_and_spares_clean_texts(spark):
     assert kept.columns == docs.columns and kept.count() == 502
     assert toxicity.toxicity(docs, lab.limit(0)).filter("predicted = 1").count() == 0
     assert toxicity.toxicity(docs.limit(0), lab).count() == 0
+    # an id repeated by many rows is learned from once; rows and clashing columns stay as they are
+    again = docs.union(frame(spark, [f"copy number {i} plonk" for i in range(500)]).withColumn("doc_id", F.lit(1).cast("long")))
+    assert toxicity._labelled(again, lab, "doc_id", "text").groupBy("doc_id").count().filter("count > 1").count() == 0
+    learned, _ = toxicity.fit_toxicity(again, lab)
+    assert learned.lexicon and "plonk" in " ".join(learned.lexicon)
+    named = docs.withColumns({"active": F.lit("a"), "_votes": F.col("doc_id") * 2, "toxic": F.lit(7)})
+    kept = toxicity.drop_toxic(named, lab)
+    assert kept.columns == named.columns and kept.count() == 502
+    assert kept.filter("active <> 'a' OR toxic <> 7 OR _votes <> doc_id * 2").count() == 0
 
 
 def test_label_model_finds_accuracies_and_correlated_voters():
@@ -448,7 +458,6 @@ def test_fingerprints_follow_the_contract(spark):
 
 
 def test_sketch_estimates(spark):
-    from pyspark.sql import functions as F
 
     a, b = prose(1, 3000, 10**6), prose(1, 3000, 10**6)[: -len(prose(2, 900, 10**6))] + " " + prose(2, 900, 10**6)
     x, y = shingles(a, 5), shingles(b, 5)
