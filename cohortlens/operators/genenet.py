@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,18 +16,22 @@ from ..functions.levels import bounded_levels, with_levels
 from ..functions.ranks import attach
 from ..session import materialise
 from .communicate import pagerank
+from .communities import communities, numbered_by_size
 
-MAX_LEFT = 3_000
+#: Left genes of one pass over the cells, and values of one panel of adjacency rows (64 MB).
+LEFT_AT_ONCE, PANEL = 1_000, 8_000_000
 
 
 def cross_products(layer: DataFrame, left: Sequence[str]) -> DataFrame:
-    """Σ over cells of x(left)·x(gene), for a bounded list of left genes and every gene.
+    """Σ over cells of x(left)·x(gene), for a list of left genes and every gene.
 
     Rows meet by cell in a range of tasks; each task multiplies blocks of its cells and
-    emits one partial sum per pair it saw, so pairs are combined before the shuffle.
+    emits one partial sum per pair it saw, so pairs are combined before the shuffle. A long
+    list is taken in slices, so that a task holds sums of ``LEFT_AT_ONCE`` genes only.
     """
-    if len(left) > MAX_LEFT:
-        raise ValueError(f"at most {MAX_LEFT} left genes; got {len(left)}")
+    if len(left) > LEFT_AT_ONCE:
+        slices = [left[i : i + LEFT_AT_ONCE] for i in range(0, len(left), LEFT_AT_ONCE)]
+        return reduce(DataFrame.unionByName, [cross_products(layer, part) for part in slices])
     index = {g: k for k, g in enumerate(left)}
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,36 +94,173 @@ def gene_correlation(layer: DataFrame, n_cells: int, left: Sequence[str]) -> Dat
     return joined.select("left", "gene", (cov / F.sqrt(F.nullif(F.greatest(var, F.lit(0.0)), F.lit(0.0)))).alias("r"))
 
 
+def _panels(corr: DataFrame, nodes: DataFrame, power: float) -> DataFrame:
+    """``panel, gene, at, k, js, vs``: each gene's adjacency row, the genes it meets by number, and its degree."""
+    of = lambda side, gene: nodes.select(F.col("gene").alias(side), F.col("at").alias(gene))
+    pairs = corr.filter(F.col("left") < F.col("gene")).select("left", "gene", F.coalesce(F.pow(F.abs("r"), F.lit(power)), F.lit(0.0)).alias("a"))
+    numbered = pairs.join(of("left", "i"), "left").join(of("gene", "j"), "gene").select("i", "j", "a").filter("a > 0")
+    both = numbered.unionByName(numbered.select(F.col("j").alias("i"), F.col("i").alias("j"), "a"))
+    rows = both.groupBy(F.col("i").alias("at")).agg(F.collect_list("j").alias("js"), F.collect_list("a").alias("vs"), F.sum("a").alias("k"))
+    none = lambda c, t: F.coalesce(F.col(c), F.array().cast(t)).alias(c)
+    return nodes.join(rows, "at", "left").select("panel", "gene", "at", F.coalesce("k", F.lit(0.0)).alias("k"), none("js", "array<int>"), none("vs", "array<double>"))
+
+
 def topological_overlap(corr: DataFrame, genes: Sequence[str], power: float = 6.0) -> DataFrame:
-    """Topological overlap of the |r|^power adjacency.
+    """``gene1, gene2, adjacency, tom``: topological overlap of the |r|^power adjacency, gene1 before gene2.
 
-    The adjacency of the selected genes (at most ``MAX_LEFT``) is shipped to the tasks,
-    each of which multiplies its own rows.
+    The product of the adjacency with itself is taken in blocks: genes are dealt to panels, the rows of
+    two panels meet in one group, and the genes they share are multiplied there. A panel has as many rows
+    as fit in ``PANEL`` values whatever the number of genes, so a task holds two panels and one block of
+    results; nothing passes through the driver. Unknown correlations (constant genes) count as zero.
     """
-    if len(genes) > MAX_LEFT:
-        raise ValueError(f"at most {MAX_LEFT} genes; got {len(genes)}")
-    index = {g: k for k, g in enumerate(genes)}
-    rows = corr.filter(F.col("left") < F.col("gene")).select("left", "gene", F.pow(F.abs("r"), F.lit(power)).alias("a")).collect()
-    adj = np.zeros((len(genes), len(genes)))
-    for x, y, v in rows:
-        adj[index[x], index[y]] = adj[index[y], index[x]] = v or 0.0
-    shared = corr.sparkSession.sparkContext.broadcast(adj)
-    names = list(genes)
-
-    def run(it):
-        a = shared.value
-        k = a.sum(axis=1)
-        for pdf in it:
-            for i in pdf["i"]:
-                top = a[i] @ a + a[i]
-                tom = top / (np.minimum(k[i], k) + 1 - a[i])
-                later = np.arange(i + 1, len(names))
-                if not later.size:
-                    continue
-                yield pd.DataFrame({"gene1": [names[i]] * later.size, "gene2": [names[j] for j in later], "adjacency": a[i, later], "tom": tom[later]})
+    spark = corr.sparkSession
+    names = sorted(set(genes))
+    many = len(names)
+    width = max(1, PANEL // max(1, many))
+    # numbers follow the names, so that a panel's genes are neighbours in their order
+    listed = [(g, i, i // width) for i, g in enumerate(names)]
+    nodes = spark.createDataFrame(listed, "gene string, at int, panel int")
+    rows = materialise(_panels(corr, nodes, power), "adjacency")
+    last = (many - 1) // width
+    # a panel meets itself once, as its own partner
+    later, earlier = F.sequence(F.col("panel"), F.lit(last)), F.filter(F.sequence(F.lit(0), F.col("panel")), lambda q: q < F.col("panel"))
+    own = ["gene", "at", "k", "js", "vs"]
+    low = rows.select("panel", F.explode(later).alias("other"), F.lit(True).alias("first"), *own)
+    high = rows.select(F.explode(earlier).alias("_p"), F.col("panel").alias("other"), F.lit(False).alias("first"), *own).withColumnRenamed("_p", "panel")
+
+    def dense(pdf: pd.DataFrame) -> np.ndarray:
+        out = np.zeros((len(pdf), many))
+        for k, (js, vs) in enumerate(zip(pdf["js"], pdf["vs"])):
+            out[k, js] = vs
+        return out
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("at")
+        same = pdf["panel"].iloc[0] == pdf["other"].iloc[0]
+        left, right = pdf[pdf["first"]], pdf if same else pdf[~pdf["first"]]
+        a = dense(left)
+        b = a if same else dense(right)
+        direct = a[:, right["at"].to_numpy(int)]
+        shared = a @ b.T
+        floor = np.minimum(left["k"].to_numpy()[:, None], right["k"].to_numpy()[None, :])
+        tom = (shared + direct) / (floor + 1 - direct)
+        x, y = np.nonzero(left["at"].to_numpy()[:, None] < right["at"].to_numpy()[None, :])
+        return pd.DataFrame({
+            "gene1": left["gene"].to_numpy()[x], "gene2": right["gene"].to_numpy()[y], "adjacency": direct[x, y], "tom": tom[x, y],
+        })
+
+    schema = "gene1 string, gene2 string, adjacency double, tom double"
+    return low.unionByName(high).groupBy("panel", "other").applyInPandas(block, schema)
+
+
+def coexpression_modules(tom: DataFrame, resolution: float = 1.0, min_size: int = 10, seed: int = 0) -> DataFrame:
+    """``gene, module``: communities of the overlap graph, the largest first; those under ``min_size`` are grey.
+
+    Genes without any overlap are grey too, so every gene of ``tom`` has a row.
+    """
+    graph = overlap_graph(tom)
+    found = numbered_by_size(communities(graph, resolution, seed))
+    sizes = found.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"))
+    named = found.join(sizes, "cluster").select(F.col("cell").alias("gene"), F.when(F.col("_n") >= min_size, F.col("cluster")).alias("module"))
+    every = tom.select(F.col("gene1").alias("gene")).unionByName(tom.select(F.col("gene2").alias("gene"))).distinct()
+    return every.join(named, "gene", "left").select("gene", F.coalesce("module", F.lit("grey")).alias("module"))
+
+
+def overlap_graph(tom: DataFrame) -> DataFrame:
+    """Both directions of the positive overlaps, as a graph ``src, dst, weight``."""
+    one = tom.filter("tom > 0").select(F.col("gene1").alias("src"), F.col("gene2").alias("dst"), F.col("tom").alias("weight"))
+    return one.unionByName(one.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
+
+
+#: Names of the sums of products that a step of the search for a first component needs.
+_SPAN = ("w", "r", "p")
+_SUMS = [(x, y) for i, x in enumerate(_SPAN) for y in _SPAN[i:]]
+
+
+def _ritz(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of the plane through a module's vector, its residual and its last step, the direction of largest variance."""
+    for pdf in it:
+        out = []
+        for row in pdf.itertuples(index=False):
+            gram, form = np.zeros((3, 3)), np.zeros((3, 3))
+            for x, y in _SUMS:
+                i, j = _SPAN.index(x), _SPAN.index(y)
+                gram[i, j] = gram[j, i] = getattr(row, f"g_{x}{y}")
+                form[i, j] = form[j, i] = getattr(row, f"f_{x}{y}")
+            unit = np.where(np.diag(gram) > 1e-30, 1 / np.sqrt(np.maximum(np.diag(gram), 1e-30)), 0.0)
+            values, vectors = np.linalg.eigh(gram * np.outer(unit, unit))
+            base = vectors[:, values > 1e-10] / np.sqrt(values[values > 1e-10])
+            base = unit[:, None] * base
+            top = base @ np.linalg.eigh(base.T @ form @ base)[1][:, -1]
+            out.append((row.module, *(top if top[0] >= 0 else -top)))
+        yield pd.DataFrame(out, columns=["module", "c_w", "c_r", "c_p"])
+
+
+def first_components(corr: DataFrame, modules: DataFrame, tolerance: float = 1e-7, max_steps: int | None = None) -> DataFrame:
+    """``module, gene, weight, eigenvalue, residual``: leading eigenvector of each module's correlation matrix.
+
+    All modules advance together. A step multiplies the correlations of pairs within modules with the
+    residuals (a join on the gene and a sum) and takes the best vector of the plane that vector, residual
+    and last step span, so the share of variance only rises. It ends when no module's residual
+    ‖Rw − λw‖ exceeds ``tolerance`` · λ. A limit that is given and reached warns; ``residual`` tells how far each came.
+    Weights have length one and a sum of at least zero. Constant genes have no row.
+    """
+    side = lambda gene, module: modules.select(F.col("gene").alias(gene), F.col("module").alias(module))
+    known = corr.filter(F.col("r").isNotNull()).join(side("left", "module"), "left").join(side("gene", "_m"), "gene")
+    inside = materialise(known.filter(F.col("module") == F.col("_m")).select("module", "left", "gene", "r"), "inside")
+
+    def times(state: DataFrame, vector: str) -> DataFrame:
+        of = state.select("module", F.col("gene").alias("left"), F.col(vector).alias("_x"))
+        return inside.join(of, ["module", "left"]).groupBy("module", "gene").agg(F.sum(F.col("r") * F.col("_x")).alias(f"a{vector}"))
+
+    own = inside.filter(F.col("left") == F.col("gene")).select("module", "gene")
+    # near the module's mean profile, with a hashed tilt so that no direction is missing from the start
+    start = own.withColumn("w", 1 + F.xxhash64("gene") / 1e20)
+    zero = F.lit(0.0)
+    state = start.join(times(start, "w"), ["module", "gene"]).select("module", "gene", "w", "aw", zero.alias("p"), zero.alias("ap"))
+    state, step = materialise(state, "components"), 0
+    while True:
+        sums = state.groupBy("module").agg(F.sum(F.col("w") * F.col("w")).alias("_ww"), F.sum(F.col("w") * F.col("aw")).alias("_wa"))
+        size = F.sqrt("_ww")
+        scaled = state.join(sums, "module").select("module", "gene", *((F.col(c) / size).alias(c) for c in ("w", "aw", "p", "ap")), (F.col("_wa") / F.col("_ww")).alias("value"))
+        scaled = materialise(scaled.withColumn("r", F.col("aw") - F.col("value") * F.col("w")), "scaled")
+        off = scaled.groupBy("module").agg(F.sqrt(F.sum(F.col("r") * F.col("r"))).alias("residual"), F.first("value").alias("v"), F.sum("w").alias("_s"))
+        off = materialise(off, "residuals")
+        open_ = off.filter(F.col("residual") > F.lit(tolerance) * F.abs("v")).count()
+        if not open_ or max_steps is not None and step >= max_steps:
+            if open_:
+                warnings.warn(f"first components have not settled after {max_steps} steps: {open_} modules are open", stacklevel=2)
+            sign = F.when(F.col("_s") < 0, -1.0).otherwise(1.0)
+            return scaled.join(off, "module").select("module", "gene", (sign * F.col("w")).alias("weight"), F.col("value").alias("eigenvalue"), "residual")
+        wide = materialise(scaled.join(times(scaled, "r"), ["module", "gene"]), "products")
+        forms = wide.groupBy("module").agg(
+            *(F.sum(F.col(x) * F.col(y)).alias(f"g_{x}{y}") for x, y in _SUMS), *(F.sum(F.col(x) * F.col(f"a{y}")).alias(f"f_{x}{y}") for x, y in _SUMS)
+        )
+        turn = forms.mapInPandas(_ritz, "module string, c_w double, c_r double, c_p double")
+        step_of = lambda a: F.col("c_r") * F.col(f"{a}r") + F.col("c_p") * F.col(f"{a}p")
+        moved = wide.join(turn, "module").select("module", "gene", (F.col("c_w") * F.col("w") + step_of("")).alias("w"), (F.col("c_w") * F.col("aw") + step_of("a")).alias("aw"), step_of("").alias("p"), step_of("a").alias("ap"))
+        step += 1
+        if step % 16 == 0:  # products carried along drift by rounding; they are taken anew
+            moved = materialise(moved.drop("aw", "ap"), "moved")
+            moved = moved.join(times(moved, "w"), ["module", "gene"]).join(times(moved, "p"), ["module", "gene"])
+        state = materialise(moved, "components")
+
+
+def eigengenes(layer: DataFrame, cells: DataFrame, weights: DataFrame) -> DataFrame:
+    """``cell, module, e``: projection of the cells' standardised values on each module's weights, centred."""
+    n = cells.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    m = layer.groupBy("gene").agg(F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("ss"))
+    m = attach(m, n, []).select("gene", (F.col("s") / F.col("n")).alias("mean"), F.sqrt(F.greatest(F.col("ss") / F.col("n") - F.pow(F.col("s") / F.col("n"), F.lit(2.0)), F.lit(0.0))).alias("sd"))
+    scaled = weights.join(m.filter("sd > 0"), "gene").select("module", "gene", (F.col("weight") / F.col("sd")).alias("w"), (F.col("weight") * F.col("mean") / F.col("sd")).alias("off"))
+    return materialise(_profile(layer, cells, materialise(scaled, "weights"), bounded_levels(weights, "module")), "eigengenes")
+
 
-    ids = corr.sparkSession.range(len(genes)).withColumnRenamed("id", "i")
-    return ids.mapInPandas(run, "gene1 string, gene2 string, adjacency double, tom double")
+def _profile(layer: DataFrame, cells: DataFrame, weights: DataFrame, levels: list) -> DataFrame:
+    """``cell, module, e``: Σ w·value of a module's genes less Σ off; ``weights`` is ``(module, gene, w, off)``."""
+    offset = weights.groupBy("module").agg(F.sum("off").alias("_o"))
+    raw = layer.join(weights, "gene").groupBy("cell", "module").agg(F.sum(F.col("w") * F.col("value")).alias("e"))
+    grid = with_levels(cells.select("cell"), "module", levels)
+    return grid.join(raw, ["cell", "module"], "left").join(offset, "module").select("cell", "module", (F.coalesce("e", F.lit(0.0)) - F.col("_o")).alias("e"))
 
 
 def module_membership(layer: DataFrame, cells: DataFrame, modules: DataFrame) -> DataFrame:
@@ -133,16 +276,14 @@ def module_membership(layer: DataFrame, cells: DataFrame, modules: DataFrame) ->
     m = materialise(m, "moments")
     sized = modules.join(modules.groupBy("module").agg(F.count(F.lit(1)).alias("_k")), "module").join(m.filter(F.col("sd") > 0), "gene")
     weights = sized.select("module", "gene", (1 / (F.col("sd") * F.col("_k"))).alias("w"), (F.col("s") / F.col("n") / (F.col("sd") * F.col("_k"))).alias("off"))
-    weights = materialise(weights, "weights")
-    offset = weights.groupBy("module").agg(F.sum("off").alias("_o"))
-    raw = layer.join(weights, "gene").groupBy("cell", "module").agg(F.sum(F.col("w") * F.col("value")).alias("e"))
-    grid = with_levels(cells.select("cell"), "module", bounded_levels(modules, "module"))
-    eigen = grid.join(raw, ["cell", "module"], "left").join(offset, "module").select("cell", "module", (F.coalesce("e", F.lit(0.0)) - F.col("_o")).alias("e"))
+    eigen = _profile(layer, cells, materialise(weights, "weights"), bounded_levels(modules, "module"))
     return materialise(eigen, "eigengenes"), m, n
 
 
-def kme(layer: DataFrame, cells: DataFrame, modules: DataFrame) -> DataFrame:
-    eigen, m, _ = module_membership(layer, cells, modules)
+def kme(layer: DataFrame, cells: DataFrame, modules: DataFrame, eigen: DataFrame | None = None) -> DataFrame:
+    """Each gene's correlation with its module's profile, or with that module's values in ``eigen``."""
+    mean, m, _ = module_membership(layer, cells, modules)
+    eigen = mean if eigen is None else eigen
     se = eigen.groupBy("module").agg(F.sum("e").alias("se"), F.sum(F.col("e") * F.col("e")).alias("see"))
     xe = layer.join(modules, "gene").join(eigen, ["cell", "module"]).groupBy("gene", "module").agg(F.sum(F.col("value") * F.col("e")).alias("xe"))
     j = xe.join(m, "gene").join(se, "module")
@@ -151,8 +292,10 @@ def kme(layer: DataFrame, cells: DataFrame, modules: DataFrame) -> DataFrame:
     return j.select("gene", "module", (cov / F.sqrt(F.nullif(var, F.lit(0.0)))).alias("kme"))
 
 
-def module_trait_correlation(layer: DataFrame, cells: DataFrame, modules: DataFrame, trait: str) -> DataFrame:
-    eigen, _, _ = module_membership(layer, cells, modules)
+def module_trait_correlation(layer: DataFrame, cells: DataFrame, modules: DataFrame, trait: str, eigen: DataFrame | None = None) -> DataFrame:
+    """Correlation of each module's profile, or of its values in ``eigen``, with a column of the cells."""
+    if eigen is None:
+        eigen, _, _ = module_membership(layer, cells, modules)
     return eigen.join(cells.select("cell", F.col(trait).cast("double").alias("_t")), "cell").groupBy("module").agg(F.corr("e", "_t").alias("r"))
 
 

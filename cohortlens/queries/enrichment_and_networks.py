@@ -10,6 +10,8 @@ from ..operators import compare as j
 from ..operators import enrich as e
 from ..operators import genenet as n
 from ..operators import normalize
+from ..operators.communities import certificate
+from ..session import materialise
 from . import bindings as b
 from .bindings import with_sql
 from .labels_and_programs import LOG_SQL, lognorm
@@ -534,6 +536,54 @@ def n1_trait(spark, sf):
     return r(n.module_trait_correlation(lognorm(spark, sf), b.dense_cells(spark, sf), brand_modules(spark, sf), "balance"), "r")
 
 
+@query("n1_coexpression_modules", "SELECT unnest(['no_move_gains', 'clusters_connected', 'modularity_not_below']) AS \"check\", true AS passed")
+def n1_modules(spark, sf):
+    """What modules of the overlap graph must hold whatever they are, and that they are no worse than the brand sets."""
+    tom = materialise(n.topological_overlap(correlations(spark, sf), brands(spark, sf), 2.0), "overlap")
+    modules = materialise(n.coexpression_modules(tom, min_size=1).select(F.col("gene").alias("cell"), F.col("module").alias("cluster")), "modules")
+    rival = brand_modules(spark, sf).select(F.col("gene").alias("cell"), F.col("module").alias("cluster"))
+    return certificate(n.overlap_graph(tom), modules, rival)
+
+
+# the correlation matrix of a module squared again and again, at trace one, becomes the projection on its first component
+FIRST = KME + """, sq AS (SELECT 0 AS step, x.module, c.g1, c.g2, c.r AS v FROM co c JOIN md x ON x.gene = c.g1 JOIN md y ON y.gene = c.g2 AND y.module = x.module
+      UNION ALL (SELECT step + 1, module, g1, g2, v / SUM(CASE WHEN g1 = g2 THEN v END) OVER (PARTITION BY module) FROM (
+        SELECT a.step, a.module, a.g1, c.g2, SUM(a.v * c.v) AS v FROM sq a JOIN sq c ON a.module = c.module AND a.g2 = c.g1 WHERE a.step < 15 GROUP BY 1, 2, 3, 4))),
+    fin AS (SELECT * FROM sq WHERE step = 15), piv AS (SELECT module, max_by(g1, v) AS j FROM fin WHERE g1 = g2 GROUP BY 1),
+    raw AS (SELECT f.module, f.g1 AS gene, f.v / sqrt(d.v) AS w FROM fin f JOIN piv USING (module) JOIN fin d ON d.module = f.module AND d.g1 = j AND d.g2 = j WHERE f.g2 = j),
+    wt AS (SELECT module, gene, w * CASE WHEN SUM(w) OVER (PARTITION BY module) < 0 THEN -1 ELSE 1 END AS w FROM raw),
+    ev AS (SELECT module, SUM(f.v * c.r) AS eigenvalue FROM fin f JOIN co c ON c.g1 = f.g1 AND c.g2 = f.g2 GROUP BY 1),
+    pc AS (SELECT cell, module, SUM(w * (v - mu) / sd) AS e FROM gr JOIN ms USING (gene) JOIN wt USING (gene) GROUP BY 1, 2)"""
+
+
+def first_sql(select):
+    return with_sql("dense", "dcells", extra=FIRST).replace("WITH ", "WITH RECURSIVE ", 1) + select
+
+
+def brand_components(spark, sf):
+    return materialise(n.first_components(correlations(spark, sf), brand_modules(spark, sf), 1e-9), "components")
+
+
+@query("n1_module_components", first_sql("SELECT module, gene, round(w, 4) AS weight, round(eigenvalue, 6) AS eigenvalue, true AS settled FROM wt JOIN ev USING (module)"))
+def n1_components(spark, sf):
+    found = brand_components(spark, sf).withColumn("settled", F.col("residual") <= 1e-9 * F.col("eigenvalue"))
+    return r(r(found.select("module", "gene", "weight", "eigenvalue", "settled"), "weight", places=4), "eigenvalue")
+
+
+@query("n1_eigengene_kme", first_sql("SELECT gene, module, round(corr(v, e), 4) AS kme FROM gr JOIN md USING (gene) JOIN pc USING (cell, module) GROUP BY 1, 2"))
+def n1_eigengene_kme(spark, sf):
+    layer, cells = materialise(lognorm(spark, sf), "layer"), b.dense_cells(spark, sf)
+    eigen = n.eigengenes(layer, cells, brand_components(spark, sf))
+    return r(n.kme(layer, cells, brand_modules(spark, sf), eigen), "kme", places=4)
+
+
+@query("n1_eigengene_trait", first_sql("SELECT module, round(corr(e, balance), 4) AS r FROM pc JOIN dcells USING (cell) GROUP BY 1"))
+def n1_eigengene_trait(spark, sf):
+    layer, cells = lognorm(spark, sf), b.dense_cells(spark, sf)
+    eigen = n.eigengenes(layer, cells, brand_components(spark, sf))
+    return r(n.module_trait_correlation(layer, cells, brand_modules(spark, sf), "balance", eigen), "r", places=4)
+
+
 def part_modules(spark, sf):
     return b.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("gene"), F.when(F.col("p_brand") == "Brand#25", "grey").otherwise(F.col("p_brand")).alias("module"), (F.col("p_size") / 50.0).alias("kme"))
 
