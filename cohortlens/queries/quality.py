@@ -18,7 +18,17 @@ MASKS = dict(
 
 
 def r(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, places) for c in cols})
+    """Rounded columns, by the arithmetic of the SQL's ``round``: scaled, rounded half away from zero, scaled back."""
+    types = dict(df.dtypes)
+
+    def rounded(c):
+        x = F.col(f"`{c}`")
+        if types[c] != "double":
+            return F.round(x, places)
+        scaled = F.round(x * 10.0**places) / 10.0**places
+        return F.when(F.isnan(scaled) | (F.abs(scaled) == float("inf")), x).otherwise(scaled)
+
+    return df.withColumns({c: rounded(c) for c in cols})
 
 
 def masked_genes(spark, sf):
