@@ -46,6 +46,27 @@ def test_quantiles_and_partitioning(spark, group_size, sample):
         assert np.allclose(got.loc[want.index, ["a", "b", "c"]], want)
 
 
+def test_rounding_follows_the_sql(spark):
+    import duckdb
+
+    from cohortlens.queries.quality import r
+
+    values = [99994632918.84967, 1.000005, -2.5, -0.0000005, 0.0, 1e300, float("inf"), float("nan"), None]
+    got = [x.v for x in r(spark.createDataFrame(list(enumerate(values)), "i int, v double"), "v", places=5).orderBy("i").collect()]
+    want = [duckdb.execute("SELECT round(?::DOUBLE, 5)", [v]).fetchone()[0] for v in values]
+    assert [repr(None if x is None else x + 0.0) for x in got] == [repr(None if x is None else x + 0.0) for x in want]
+
+
+def test_split_points_do_not_depend_on_row_order(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "SMALL_GROUP", 1_000)
+    df = spark.range(60_000).select((F.col("id") % 2).alias("g"), (F.xxhash64("id") % 1_000_003 / 7.0).alias("v")).distinct()
+    found = [
+        {r.g: r._splits for r in ranks.split_points(d, ["g"], "v").collect()}
+        for d in (df.repartition(3, "v"), df.repartition(17).sortWithinPartitions(F.desc("v")))
+    ]
+    assert found[0] == found[1] and all(len(s) == ranks.SPLITS - 1 and s == sorted(s) for s in found[0].values())
+
+
 def test_quantiles_ignore_null_and_nan(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (None,), (float("nan"),)], "v double")
     assert ranks.grouped_quantiles(df, [], "v", {"m": 0.5}).first().m == 2.0
