@@ -158,3 +158,15 @@ def test_simulated_doublets_stay_in_their_sample(spark):
     counts = cells.select("cell", F.lit("g").alias("gene"), F.lit(1.0).alias("value"))
     sim = fits.simulate_doublets(counts, cells, "s")
     assert sim.count() == 6 and sim.filter("value <> 2").count() == 0
+
+
+def test_blocks_hold_neighbouring_pivots_and_stay_few():
+    """Blocks grow with the table: 720,000 rows meet in 24 blocks, and a pivot with most rows is cut."""
+    rng = np.random.default_rng(3)
+    p = rng.normal(size=(144, 8))
+    between = k._distances(p, p)
+    first, parts = k._blocks(np.full(144, 5_000), between, 30_000)
+    assert (parts == 1).all() and first.max() + 1 == 24 and np.bincount(first).max() == 6
+    count = np.array([200_000, 10, 20, 30])
+    first, parts = k._blocks(count, between[:4, :4], 30_000)
+    assert parts.tolist() == [7, 1, 1, 1] and set(first[1:]) == {7}
