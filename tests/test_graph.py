@@ -170,3 +170,25 @@ def test_blocks_hold_neighbouring_pivots_and_stay_few():
     count = np.array([200_000, 10, 20, 30])
     first, parts = k._blocks(count, between[:4, :4], 30_000)
     assert parts.tolist() == [7, 1, 1, 1] and set(first[1:]) == {7}
+
+
+def test_a_search_is_run_once(points):
+    """Graphs and votes read its rows several times."""
+    df, _, _ = points
+    plan = k.knn_graph(k.knn(df, df, 3))._jdf.queryExecution().toString()
+    assert "CoGroups" not in plan and plan.count("Relation") > 0
+
+
+def test_components_read_their_edges_once(spark, points):
+    df, names, x = points
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(it):
+        for pdf in it:
+            read.add(len(pdf))
+            yield pdf
+
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("d", "e"), ("f", "f")], "src string, dst string").mapInPandas(counted, "src string, dst string")
+    got = {r.node: r.c for r in k.connected_components(edges).collect()}
+    assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d", "f": "f"}
+    assert read.value == 4
