@@ -192,3 +192,22 @@ def test_components_read_their_edges_once(spark, points):
     got = {r.node: r.c for r in k.connected_components(edges).collect()}
     assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d", "f": "f"}
     assert read.value == 4
+
+
+def test_refined_labels_build_their_walk_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(it):
+        for pdf in it:
+            read.add(len(pdf))
+            yield pdf
+
+    schema = "src string, dst string, weight double"
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0), ("b", "c", 3.0), ("c", "b", 3.0)], schema).mapInPandas(counted, schema)
+    layer = spark.createDataFrame([("a", "g", 4.0), ("c", "h", 2.0)], "cell string, gene string, value double")
+    groups = spark.createDataFrame([("X", "g"), ("Y", "h")], "source string, target string")
+    cells = spark.createDataFrame([(c,) for c in "abc"], "cell string")
+    got = {r.cell: (r.X, r.Y, r.call) for r in k.refine_labels(edges, layer, groups, cells, {"X": 0.1, "Y": 0.1}).collect()}
+    # one step: a and c read b (0, 0), b reads a/4 + 3c/4; two steps: a and c read that of b, b reads zeros
+    assert got == {"a": (0.5, 0.75, "Y"), "b": (0.5, 0.75, "Y"), "c": (0.5, 0.75, "Y")}
+    assert read.value == 4
