@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import math
+import time
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -115,6 +117,19 @@ def test_ln_factorial_and_hypergeometric(spark):
     assert np.allclose([r.p for r in got.collect()], want, atol=1e-12)
 
 
+def test_hypergeometric_tail_of_large_sets():
+    """The number of terms follows the spread: sets of millions end at once."""
+    exact = lambda k, u, a, b: float(Fraction(sum(math.comb(a, i) * math.comb(u - a, b - i) for i in range(max(k, a + b - u), min(a, b) + 1)), math.comb(u, b)))
+    for u, a, b in ((50, 10, 5), (10, 9, 9), (3000, 700, 900), (3000, 2900, 2800), (3000, 1, 5)):
+        for k in {0, 1, 2, a * b // u, a * b // u + 1, a * b // u + 60, a * b // u + 300, a + b - u, min(a, b), min(a, b) + 1}:
+            assert math.isclose(tails.hypergeometric_tail(k, u, a, b), exact(k, u, a, b) if k > 0 else 1.0, rel_tol=1e-9, abs_tol=1e-300), (k, u, a, b)
+    start = time.perf_counter()
+    mean = 288_000 * 250_000 // 7_200_000
+    got = [tails.hypergeometric_tail(mean + d, 7_200_000, 288_000, 250_000) for d in range(-300, 301, 10)]
+    assert time.perf_counter() - start < 2
+    assert all(x > y for x, y in zip(got, got[1:])) and abs(got[30] - 0.5) < 0.01
+
+
 def integral(f, a, b, n=400_001):
     x = np.linspace(a, b, n)
     return float(np.trapezoid(f(x), x))
