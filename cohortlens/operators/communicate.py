@@ -261,14 +261,20 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends.groupBy("node").agg(F.sum("i").alias("Listener"), F.sum("o").alias("Influencer"))
 
 
+def _summed(edges: DataFrame) -> DataFrame:
+    """One edge a pair of nodes, written once: ranks and degrees read the edges several times."""
+    return materialise(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "network")
+
+
 def topology(edges: DataFrame) -> DataFrame:
-    return degrees(edges).join(pagerank(edges).withColumnRenamed("pagerank", "Pagerank"), "node")
+    e = _summed(edges)
+    return degrees(e).join(pagerank(e).withColumnRenamed("pagerank", "Pagerank"), "node")
 
 
 def topology_difference(case: DataFrame, control: DataFrame, alpha: float = 0.01) -> DataFrame:
     """Degree differences of the differential network and the log ratio of smoothed PageRanks."""
-    a = case.groupBy("src", "dst").agg(F.sum("weight").alias("_a"))
-    b = control.groupBy("src", "dst").agg(F.sum("weight").alias("_b"))
+    case, control = _summed(case), _summed(control)
+    a, b = case.withColumnRenamed("weight", "_a"), control.withColumnRenamed("weight", "_b")
     diff = a.join(b, ["src", "dst"], "full").select("src", "dst", (F.coalesce("_a", F.lit(0.0)) - F.coalesce("_b", F.lit(0.0))).alias("weight"))
     p = pagerank(case).withColumnRenamed("pagerank", "_p")
     q = pagerank(control).withColumnRenamed("pagerank", "_q")

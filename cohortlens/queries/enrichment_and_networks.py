@@ -469,7 +469,7 @@ def m9(spark, sf):
     + """ SELECT node, round(COALESCE(i, 0), 6) AS "Listener", round(COALESCE(o, 0), 6) AS "Influencer", round(ln((COALESCE(a_pr.r, 0) + 0.01) / (COALESCE(b_pr.r, 0) + 0.01)), 6) AS "Pagerank" FROM dg FULL JOIN a_pr USING (node) FULL JOIN b_pr USING (node)""",
 )
 def m9_diff(spark, sf):
-    lr = canonical(spark, sf)
+    lr = materialise(canonical(spark, sf))
     out = m.topology_difference(m.cci_edges(lr.filter("sample = 'F'")), m.cci_edges(lr.filter("sample = 'O'")))
     return r(out, "Listener", "Influencer", "Pagerank")
 

@@ -211,3 +211,19 @@ def test_refined_labels_build_their_walk_once(spark):
     # one step: a and c read b (0, 0), b reads a/4 + 3c/4; two steps: a and c read that of b, b reads zeros
     assert got == {"a": (0.5, 0.75, "Y"), "b": (0.5, 0.75, "Y"), "c": (0.5, 0.75, "Y")}
     assert read.value == 4
+
+
+def test_network_difference_reads_its_arms_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(it):
+        for pdf in it:
+            read.add(len(pdf))
+            yield pdf
+
+    schema = "src string, dst string, weight double"
+    arm = lambda *rows: spark.createDataFrame(rows, schema).mapInPandas(counted, schema)
+    case, control = arm(("a", "b", 1.0), ("a", "b", 1.0), ("b", "a", 1.0)), arm(("a", "b", 0.5), ("b", "a", 1.0))
+    got = {r.node: (r.Listener, r.Influencer, round(r.Pagerank, 9)) for r in communicate.topology_difference(case, control).collect()}
+    assert got == {"a": (0.0, 1.5, 0.0), "b": (1.5, 0.0, 0.0)}
+    assert read.value == 5
