@@ -227,3 +227,18 @@ def test_network_difference_reads_its_arms_once(spark):
     got = {r.node: (r.Listener, r.Influencer, round(r.Pagerank, 9)) for r in communicate.topology_difference(case, control).collect()}
     assert got == {"a": (0.0, 1.5, 0.0), "b": (1.5, 0.0, 0.0)}
     assert read.value == 5
+
+
+def test_components_broadcast_nothing(spark, monkeypatch):
+    """What a round would broadcast is built in the driver and grows with the nodes."""
+    plans, write = [], k.materialise
+
+    def noted(df, name="step"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(k, "materialise", noted)
+    edges = spark.createDataFrame([(f"n{i:02d}", f"n{i + 1:02d}") for i in range(12)] + [("x", "y")], "src string, dst string")
+    got = {r.node: r.c for r in k.connected_components(edges).collect()}
+    assert got == {f"n{i:02d}": "n00" for i in range(13)} | {"x": "x", "y": "x"}
+    assert len(plans) > 2 and not any("Broadcast" in p for p in plans)
