@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.session import materialise
 
-from .common import connected_components, discard, free_shuffles
+from .common import connected_components, discard, free_shuffles, release_memory
 
-#: Token orders: the first gives candidates, a pair must also share prefix tokens under the others.
+#: Token orders: runs of neighbours under the first give candidates, a pair must also share prefix tokens under the others.
 ORDERS = 3
 #: Frequent shingles that the orders put last, at most; a shingle counts as one from this number on.
 MAX_FREQUENT, FREQUENT = 200_000, 8
@@ -22,9 +22,13 @@ MAX_FREQUENT, FREQUENT = 200_000, 8
 COUNT_AT_ONCE, SMALL_GROUP = 1_000_000, 24
 #: Words whose hashes a task remembers.
 MAX_KNOWN = 200_000
-#: Tokens that linked sets share in their prefixes, at least (fewer if they share fewer at all), and
-#: ids that are broadcast, at most; more of them are joined by a shuffle.
+#: Tokens, or runs of neighbours, that linked sets share in their prefixes, at least (fewer if they share fewer
+#: at all), and ids that are broadcast, at most; more of them are joined by a shuffle.
 COMMON, MAX_BROADCAST = 6, 1_000_000
+#: Sets from this size on share ``COMMON`` runs with what they link to, smaller ones at least one.
+LONG = 64
+#: Longest bitmap of a set, in words of 64 bits.
+MAX_WORDS = 256
 
 _C = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,16 +57,64 @@ def shingle_set(text, size: int, known: dict[bytes, int]) -> np.ndarray:
     return np.unique(_mix(out + np.uint64(k)))
 
 
-def prefix(tokens: np.ndarray, order: int, n_prefix: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first tokens in one global order: frequency class, then a hash seeded with the order."""
-    if not len(tokens):
-        return tokens
+def _ranks(tokens: np.ndarray, order: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Places in one global order: frequency class, then a hash seeded with the order."""
     values, classes = frequent
     rank = _mix(tokens ^ np.uint64((order + 1) * 0x6B747F5C332CFEC9 % 2**64)) >> np.uint64(6)
     if len(values):
         at = np.minimum(np.searchsorted(values, tokens), len(values) - 1)
         rank |= np.where(values[at] == tokens, classes[at], 0).astype(np.uint64) << np.uint64(58)
-    return tokens[np.argpartition(rank, n_prefix - 1)[:n_prefix]] if n_prefix < len(tokens) else tokens
+    return rank
+
+
+def prefix(tokens: np.ndarray, order: int, n_prefix: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first tokens in one global order."""
+    if n_prefix >= len(tokens):
+        return tokens
+    return tokens[np.argpartition(_ranks(tokens, order, frequent), n_prefix - 1)[:n_prefix]]
+
+
+def most_different(n: int, num: int, den: int) -> int:
+    """Tokens in one only of a set of n and a set it links to, at most."""
+    return (n + n * den // num) * (den - num) // (den + num)
+
+
+def has_runs(num: int, den: int) -> bool:
+    """Whether linked unequal sets of any size share two neighbours of the order, and long ones ``COMMON`` times."""
+    spare = lambda n: -(-num * n // den) - 1 - most_different(n, num, den)
+    # from there on the share of common tokens alone decides
+    return 4 * num >= 3 * den and all(
+        most_different(n, num, den) == 0 or spare(n) >= (COMMON if n >= num * LONG // den else 1) for n in range(1, 8 * LONG)
+    )
+
+
+def keys(tokens: np.ndarray, num: int, den: int, runs: bool, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Hashes of the pairs of neighbours in a set's prefix under the first order; linked unequal sets share some.
+
+    A token of one set only parts at most one pair of neighbours among the common tokens. So of
+    the first d + 1 + c common ones at least c pairs are neighbours in both sets, for d such tokens.
+    Where that leaves nothing (low likeness, not ``runs``), the prefix tokens themselves are the keys.
+    """
+    n = len(tokens)
+    if not runs:
+        return prefix(tokens, 0, prefix_length(n, num, den), frequent)
+    d = most_different(n, num, den)
+    if d == 0:  # links to equal sets only
+        return tokens[:0]
+    m = min(n, n - -(-num * n // den) + d + 1 + COMMON)
+    rank = _ranks(tokens, 0, frequent)
+    at = np.argpartition(rank, m - 1)[:m] if m < n else np.arange(n)
+    first = tokens[at[np.lexsort((tokens[at], rank[at]))]]
+    return _mix(first[:-1] * _C + first[1:])
+
+
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Parity of the tokens on each of twice as many bits: two sets' bitmaps differ in no more bits than the sets in tokens."""
+    words = 4
+    while words < MAX_WORDS and words * 32 < len(tokens):
+        words *= 2
+    at = (_mix(tokens ^ _C) & np.uint64(words * 64 - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=words * 64) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
@@ -99,6 +151,8 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> tuple[np.ndarray
                     yield flush()
                     parts, seen, total = [], set(), 0
         yield flush()
+        parts, known = [], {}
+        release_memory()
 
     per = docs.select(text).mapInPandas(count, "h long, n long")
     top = (
@@ -110,7 +164,8 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> tuple[np.ndarray
 
 
 def _signatures(docs: DataFrame, id: str, text: str, size: int, num: int, den: int, shared) -> DataFrame:
-    """``doc, n, same (digest of the set), tokens (prefix in the first order)`` of every row."""
+    """``row, doc, n, same (digest of the set), tokens (keys in the first order)`` of every row."""
+    runs = has_runs(num, den)
 
     def run(batches):
         known: dict[bytes, int] = {}
@@ -118,17 +173,20 @@ def _signatures(docs: DataFrame, id: str, text: str, size: int, num: int, den: i
             out = []
             for t in pdf[text]:
                 s = shingle_set(t, size, known)
-                p = prefix(s, 0, prefix_length(len(s), num, den), shared.value) if len(s) else s
+                p = keys(s, num, den, runs, shared.value) if len(s) else s
                 out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None, p.view(np.int64)))
             n, same, tokens = zip(*out) if out else ((), (), ())
             yield pd.DataFrame({"doc": pdf[id], "n": n, "same": same, "tokens": tokens})
+        known.clear()
+        release_memory()
 
     kind = docs.schema[id].dataType.simpleString()
-    return docs.select(id, text).mapInPandas(run, f"doc {kind}, n long, same binary, tokens array<long>")
+    out = docs.select(id, text).mapInPandas(run, f"doc {kind}, n long, same binary, tokens array<long>")
+    return out.withColumn("row", F.monotonically_increasing_id())
 
 
 def _profiles(docs: DataFrame, text: str, size: int, num: int, den: int, shared) -> DataFrame:
-    """``node, n, tokens (set), filters (prefix in each further order)`` of the given documents."""
+    """``node, n, bits (bitmap), tokens (set), filters (prefix in each further order)`` of the given documents."""
 
     def run(batches):
         known: dict[bytes, int] = {}
@@ -138,50 +196,90 @@ def _profiles(docs: DataFrame, text: str, size: int, num: int, den: int, shared)
                 s = shingle_set(t, size, known)
                 m = prefix_length(len(s), num, den) if len(s) else 0
                 filters = [prefix(s, k, m, shared.value).view(np.int64) for k in range(1, ORDERS)]
-                out.append((s.view(np.int64), *filters))
-            columns = list(zip(*out)) if out else [()] * ORDERS
-            yield pd.DataFrame({"node": pdf["node"], "n": [len(s) for s in columns[0]], "tokens": columns[0]} | {f"f{k}": columns[k] for k in range(1, ORDERS)})
+                out.append((s.view(np.int64), *filters, bitmap(s)))
+            columns = list(zip(*out)) if out else [()] * (ORDERS + 1)
+            yield pd.DataFrame({"node": pdf["node"], "n": [len(s) for s in columns[0]], "bits": columns[-1], "tokens": columns[0]} | {f"f{k}": columns[k] for k in range(1, ORDERS)})
+        known.clear()
+        release_memory()
 
-    schema = "node long, n long, tokens array<long>, " + ", ".join(f"f{k} array<long>" for k in range(1, ORDERS))
+    schema = "node long, n long, bits array<long>, tokens array<long>, " + ", ".join(f"f{k} array<long>" for k in range(1, ORDERS))
     return docs.select("node", "_text").mapInPandas(run, schema)
 
 
+def _bits_apart(x, y):
+    """Bits in which two bitmaps differ, the longer one folded once; null if they are of unlike lengths then."""
+    half = lambda v: (F.size(v) / 2).cast("int")
+    fold = lambda v: F.zip_with(F.slice(v, 1, half(v)), F.slice(v, half(v) + 1, half(v)), lambda p, q: p.bitwiseXOR(q))
+    short = lambda v, w: F.when(F.size(v) > F.size(w), fold(v)).otherwise(v)
+    apart = F.zip_with(short(x, y), short(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(apart, F.lit(0), lambda total, one: total + one)
+
+
 def _verified(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs ``a, b`` that pass the filters of the further orders, and then the exact test.
+    """Pairs ``a, b`` whose bitmaps are near enough, that pass the filters of the further orders, and then the exact test.
 
     Linked sets share ``COMMON`` tokens of their prefixes under every order, or all that they share at least.
     """
-    light = profiles.drop("tokens")
-    of = lambda side: light.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), *[F.col(f"f{k}").alias(f"{side}{k}") for k in range(1, ORDERS)])
-    near = pairs.join(of("a"), "a").join(of("b"), "b")
+    light = lambda side: profiles.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"b{side}"))
+    near = pairs.join(light("a"), "a").join(light("b"), "b")
+    apart = F.coalesce(_bits_apart(F.col("ba"), F.col("bb")), F.lit(0))
+    kept = materialise(near.filter(apart * (den + num) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b").distinct(), "kept")
+    asked = kept.select(F.col("a").alias("node")).union(kept.select("b")).distinct()
+    asked = profiles.drop("bits").join(asked, "node", "left_semi")
+    full = lambda side: asked.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("tokens").alias(f"t{side}"), *[F.col(f"f{k}").alias(f"{side}{k}") for k in range(1, ORDERS)])
+    whole = kept.join(full("a"), "a").join(full("b"), "b")
     least = F.least(F.lit(COMMON), *[F.ceil(F.col(f"n{side}") * num / den) for side in "ab"])
     for k in range(1, ORDERS):
-        near = near.filter(F.size(F.array_intersect(f"a{k}", f"b{k}")) >= least)
-    kept = materialise(near.select("a", "b"), "kept")
-    asked = kept.select(F.col("a").alias("node")).union(kept.select("b")).distinct()
-    asked = profiles.select("node", "tokens").join(asked, "node", "left_semi")
-    full = lambda side: asked.select(F.col("node").alias(side), F.col("tokens").alias(f"t{side}"))
+        whole = whole.filter(F.size(F.array_intersect(f"a{k}", f"b{k}")) >= least)
     # whole sets are intersected where they are joined: batches of them for Python workers have no bound in bytes
-    both = F.size(F.array_intersect("ta", "tb")).alias("_both")
-    whole = kept.join(full("a"), "a").join(full("b"), "b").select("a", "b", both, (F.size("ta") + F.size("tb")).alias("_sum"))
+    whole = whole.select("a", "b", F.size(F.array_intersect("ta", "tb")).alias("_both"), (F.size("ta") + F.size("tb")).alias("_sum"))
     union = F.col("_sum") - F.col("_both")
     found = materialise(whole.filter(F.col("_both") * den >= union * num).select("a", "b"), "links")
     discard(kept)
     return found
 
 
+def _groups(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """``token, node, n, weight (keys the node shares)``: of groups with the same nodes one stays.
+
+    ``rows`` are signatures of one row for each set. Nodes with fewer shared keys than any link needs are left out.
+    """
+    # dealt by key once, for the counts and for the rows alike
+    listed = rows.select(F.explode("tokens").alias("token"), F.col("doc").alias("node"), "n").repartition("token")
+    often = listed.groupBy("token").agg(
+        F.count(F.lit(1)).alias("m"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.min("n").alias("s"), F.max("n").alias("l")
+    )
+    often = often.filter("lo <> hi").filter((F.col("m") > 2) | (F.col("s") * den >= F.col("l") * num)).select("token")
+    listed = materialise(listed.join(often.hint("shuffle_hash"), "token", "left_semi"), "shared")
+    if has_runs(num, den):
+        least = F.when(F.col("n") >= LONG, COMMON).otherwise(1)
+    else:
+        least = F.least(F.lit(COMMON), F.ceil(F.col("n") * num / den))
+    used = listed.groupBy("node").agg(F.count(F.lit(1)).alias("weight"), F.min("n").alias("n")).filter(F.col("weight") >= least)
+    used = materialise(used.select("node", "weight"), "used")
+    few = used.count() <= MAX_BROADCAST
+    shared = listed.join(F.broadcast(used) if few else used, "node")
+    part = lambda seed: F.sum(F.pmod(F.xxhash64(F.lit(seed), "node", "n"), F.lit(2**31))).alias(f"h{seed}")
+    alike = shared.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("lo"), F.max("node").alias("hi"), part(1), part(2))
+    alike = alike.filter("lo <> hi").groupBy("m", "lo", "hi", "h1", "h2").agg(F.min("token").alias("token"))
+    groups = materialise(shared.join(alike.select("token"), "token", "left_semi").select("token", "node", "n", "weight"), "groups")
+    discard(listed, used)
+    return groups
+
+
 def jaccard_classes(
     docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 4, num: int = 85, den: int = 100
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``; links are Jaccard >= num/den.
 
-    Rows with equal shingle sets are one node, the least id. A node's rarest tokens under the first
-    order put it into one group each. In a group, a few pivots are compared with all others, then
-    the components found so far are applied, and pairs inside one component need no test any
-    more; pivots leave, their number grows 64-fold a round, and groups that fit are compared
-    whole once. So a group ends when it lies in one component or all its pairs were tested, and
-    a large group of near copies costs one comparison a member. Only pairs that share prefix
-    tokens under every further order have their whole sets compared.
+    Rows with equal shingle sets are one node, the least id. Each two neighbours among a node's rarest
+    tokens under the first order put it into one group. In a group, a few pivots are compared with all
+    others, first the node that shares most, then the components found so far are applied, and pairs
+    inside one component need no test any more; pivots leave, their number grows 64-fold a round, and
+    groups that fit are compared whole once. So a group ends when it lies in one component or all
+    its pairs were tested, and a large group of near copies costs one comparison a member. Only pairs
+    whose bitmaps are near enough and that share prefix tokens under every further order have their
+    whole sets compared.
 
     ``component_id`` is the least id reachable by links. Texts without words (null, empty) have no
     shingles and link to nothing; texts of fewer words than a shingle have their word sequence as
@@ -195,26 +293,21 @@ def jaccard_classes(
     nodes = (
         rows.filter(F.col("doc").isNotNull() & (F.col("n") > 0))
         .groupBy("same")
-        .agg(F.min(F.struct("doc", "n", "tokens")).alias("r"))
-        .select("same", F.col("r.doc").alias("node"), F.col("r.n").alias("n"), F.col("r.tokens").alias("tokens"))
+        .agg(F.min(F.struct("doc", "row")).alias("r"))
+        .select("same", F.col("r.doc").alias("node"), F.col("r.row").alias("row"))
     )
     nodes = materialise(nodes, "nodes")
-    members = materialise(rows.drop("tokens").join(nodes.select("same", "node"), "same", "left").drop("same"), "members")
-    discard(rows)
-    listed = nodes.select(F.explode("tokens").alias("token"), "node", "n")
-    often = listed.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi")).filter(
-        (F.col("m") > 2) | ((F.col("m") == 2) & (F.col("lo") * den >= F.col("hi") * num))
-    )
-    groups = groups_table = materialise(listed.join(often.select("token"), "token", "left_semi"), "groups")
-    # a node with fewer shared tokens than any link needs has no link
-    least = F.least(F.lit(COMMON), F.ceil(F.col("n") * num / den))
-    used = materialise(groups.groupBy("node").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n")).filter(F.col("shared") >= least).select("node"), "used")
-    few = used.count() <= MAX_BROADCAST
-    ids = F.broadcast(used) if few else used
-    groups = groups.join(ids, "node", "left_semi").select("token", "node", "n")
+    members = materialise(rows.drop("tokens", "row").join(nodes.select("same", "node"), "same", "left").drop("same"), "members")
+    copies = rows.select("row").join(nodes.select("row"), "row", "left_anti")
+    copies = materialise(copies, "copies")
+    first_rows = rows.join(F.broadcast(copies) if copies.count() <= MAX_BROADCAST else copies, "row", "left_anti")
+    groups = groups_table = _groups(first_rows, num, den)
+    discard(rows, nodes, copies)
+    used = groups.select("node").distinct()
+    used = materialise(used, "used")
+    ids = F.broadcast(used) if used.count() <= MAX_BROADCAST else used
     texts = plain.withColumnRenamed("doc", "node").join(ids, "node", "left_semi")
     profiles = materialise(_profiles(texts, "_text", size, num, den, shared), "profiles")
-    discard(nodes)
     # nodes of different texts under one id
     shared_ids = members.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("hi")).filter("a <> hi and doc is not null")
     free_shuffles(spark)
@@ -224,18 +317,18 @@ def jaccard_classes(
         placed = groups.withColumn("c", F.col("node"))
         if components is not None:
             placed = groups.join(components, F.col("node") == F.col("id"), "left").select(
-                "token", "node", "n", F.coalesce("component", "node").alias("c")
+                "token", "node", "n", "weight", F.coalesce("component", "node").alias("c")
             )
         open_ = placed.groupBy("token").agg(
             F.count(F.lit(1)).alias("m"),
             F.min("c").alias("lo"),
             F.max("c").alias("hi"),
-            F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("p"),
+            F.max(F.struct("weight", F.xxhash64("node").alias("h"), "node")).alias("p"),
         )
         open_ = open_.filter("lo <> hi").select("token", "m", F.col("p.node").alias("p"))
         drawn = F.pmod(F.xxhash64(F.lit(pivots), "node"), F.col("m")) < pivots
         pivot = (F.col("node") == F.col("p")) | (F.lit(not first) & ((F.col("m") <= SMALL_GROUP) | drawn))
-        placed = materialise(placed.join(open_, "token").select("token", "node", "n", "c", pivot.alias("pivot")), "placed")
+        placed = materialise(placed.join(open_, "token").select("token", "node", "n", "weight", "c", pivot.alias("pivot")), "placed")
         if placed.isEmpty():
             break
         one = placed.filter("pivot").select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
@@ -248,7 +341,7 @@ def jaccard_classes(
         )
         links = links.union(_verified(pairs, profiles, num, den))
         components = materialise(connected_components(links, "a", "b"), "components")
-        done, groups = groups_table, materialise(placed.filter(~F.col("pivot")).select("token", "node", "n"), "groups")
+        done, groups = groups_table, materialise(placed.filter(~F.col("pivot")).select("token", "node", "n", "weight"), "groups")
         discard(done, placed)
         groups_table = groups
         pivots, first = pivots * 64, False
