@@ -27,8 +27,8 @@ MAX_KNOWN = 200_000
 COMMON, MAX_BROADCAST = 6, 1_000_000
 #: Sets from this size on share ``COMMON`` runs with what they link to, smaller ones at least one.
 LONG = 64
-#: Longest bitmap of a set, in words of 64 bits.
-MAX_WORDS = 256
+#: Longest bitmap of a set, and the short one that goes with each row of a group, in words of 64 bits.
+MAX_WORDS, SHORT = 256, [f"x{k}" for k in range(8)]
 
 _C = np.uint64(0x9E3779B97F4A7C15)
 
@@ -108,11 +108,12 @@ def keys(tokens: np.ndarray, num: int, den: int, runs: bool, frequent: tuple[np.
     return _mix(first[:-1] * _C + first[1:])
 
 
-def bitmap(tokens: np.ndarray) -> np.ndarray:
+def bitmap(tokens: np.ndarray, words: int | None = None) -> np.ndarray:
     """Parity of the tokens on each of twice as many bits: two sets' bitmaps differ in no more bits than the sets in tokens."""
-    words = 4
-    while words < MAX_WORDS and words * 32 < len(tokens):
-        words *= 2
+    if words is None:
+        words = 4
+        while words < MAX_WORDS and words * 32 < len(tokens):
+            words *= 2
     at = (_mix(tokens ^ _C) & np.uint64(words * 64 - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=words * 64) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -186,7 +187,7 @@ def _signatures(docs: DataFrame, id: str, text: str, size: int, num: int, den: i
 
 
 def _profiles(docs: DataFrame, text: str, size: int, num: int, den: int, shared) -> DataFrame:
-    """``node, n, bits (bitmap), tokens (set), filters (prefix in each further order)`` of the given documents."""
+    """``node, n, bits (bitmap), x0 ... (short one), tokens (set), filters (prefix in each further order)`` of the given documents."""
 
     def run(batches):
         known: dict[bytes, int] = {}
@@ -196,13 +197,14 @@ def _profiles(docs: DataFrame, text: str, size: int, num: int, den: int, shared)
                 s = shingle_set(t, size, known)
                 m = prefix_length(len(s), num, den) if len(s) else 0
                 filters = [prefix(s, k, m, shared.value).view(np.int64) for k in range(1, ORDERS)]
-                out.append((s.view(np.int64), *filters, bitmap(s)))
-            columns = list(zip(*out)) if out else [()] * (ORDERS + 1)
-            yield pd.DataFrame({"node": pdf["node"], "n": [len(s) for s in columns[0]], "bits": columns[-1], "tokens": columns[0]} | {f"f{k}": columns[k] for k in range(1, ORDERS)})
+                out.append((s.view(np.int64), *filters, bitmap(s), bitmap(s, len(SHORT))))
+            columns = list(zip(*out)) if out else [()] * (ORDERS + 2)
+            short = np.array(columns[-1], dtype=np.int64).reshape(-1, len(SHORT))
+            yield pd.DataFrame({"node": pdf["node"], "n": [len(s) for s in columns[0]], "bits": columns[-2], "tokens": columns[0]} | {f"f{k}": columns[k] for k in range(1, ORDERS)} | dict(zip(SHORT, short.T)))
         known.clear()
         release_memory()
 
-    schema = "node long, n long, bits array<long>, tokens array<long>, " + ", ".join(f"f{k} array<long>" for k in range(1, ORDERS))
+    schema = "node long, n long, bits array<long>, tokens array<long>, " + ", ".join([f"f{k} array<long>" for k in range(1, ORDERS)] + [f"{x} long" for x in SHORT])
     return docs.select("node", "_text").mapInPandas(run, schema)
 
 
@@ -225,7 +227,7 @@ def _verified(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> Data
     apart = F.coalesce(_bits_apart(F.col("ba"), F.col("bb")), F.lit(0))
     kept = materialise(near.filter(apart * (den + num) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b").distinct(), "kept")
     asked = kept.select(F.col("a").alias("node")).union(kept.select("b")).distinct()
-    asked = profiles.drop("bits").join(asked, "node", "left_semi")
+    asked = profiles.drop("bits", *SHORT).join(asked, "node", "left_semi")
     full = lambda side: asked.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("tokens").alias(f"t{side}"), *[F.col(f"f{k}").alias(f"{side}{k}") for k in range(1, ORDERS)])
     whole = kept.join(full("a"), "a").join(full("b"), "b")
     least = F.least(F.lit(COMMON), *[F.ceil(F.col(f"n{side}") * num / den) for side in "ab"])
@@ -276,7 +278,7 @@ def jaccard_classes(
     tokens under the first order put it into one group. In a group, a few pivots are compared with all
     others, first the node that shares most, then the components found so far are applied, and pairs
     inside one component need no test any more; pivots leave, their number grows 64-fold a round, and
-    groups that fit are compared whole once. So a group ends when it lies in one component or all
+    groups that fit are compared whole once. Nodes whose short bitmaps are too far apart are no pair. So a group ends when it lies in one component or all
     its pairs were tested, and a large group of near copies costs one comparison a member. Only pairs
     whose bitmaps are near enough and that share prefix tokens under every further order have their
     whole sets compared.
@@ -308,16 +310,20 @@ def jaccard_classes(
     ids = F.broadcast(used) if used.count() <= MAX_BROADCAST else used
     texts = plain.withColumnRenamed("doc", "node").join(ids, "node", "left_semi")
     profiles = materialise(_profiles(texts, "_text", size, num, den, shared), "profiles")
+    done = groups
+    groups = groups_table = materialise(groups.join(profiles.select("node", "n", *SHORT).distinct(), ["node", "n"]), "groups")
+    discard(done, used)
     # nodes of different texts under one id
     shared_ids = members.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("hi")).filter("a <> hi and doc is not null")
     free_shuffles(spark)
     links = materialise(members.join(shared_ids.select("doc", "a"), "doc").filter("a <> node").select("a", F.col("node").alias("b")), "links")
     components, pivots, first = None, 1, True
+    apart = sum(F.bit_count(F.col(x).bitwiseXOR(F.col(f"a{x}"))) for x in SHORT)
     while True:
         placed = groups.withColumn("c", F.col("node"))
         if components is not None:
             placed = groups.join(components, F.col("node") == F.col("id"), "left").select(
-                "token", "node", "n", "weight", F.coalesce("component", "node").alias("c")
+                "token", "node", "n", "weight", *SHORT, F.coalesce("component", "node").alias("c")
             )
         open_ = placed.groupBy("token").agg(
             F.count(F.lit(1)).alias("m"),
@@ -328,20 +334,21 @@ def jaccard_classes(
         open_ = open_.filter("lo <> hi").select("token", "m", F.col("p.node").alias("p"))
         drawn = F.pmod(F.xxhash64(F.lit(pivots), "node"), F.col("m")) < pivots
         pivot = (F.col("node") == F.col("p")) | (F.lit(not first) & ((F.col("m") <= SMALL_GROUP) | drawn))
-        placed = materialise(placed.join(open_, "token").select("token", "node", "n", "weight", "c", pivot.alias("pivot")), "placed")
+        placed = materialise(placed.join(open_, "token").select("token", "node", "n", "weight", *SHORT, "c", pivot.alias("pivot")), "placed")
         if placed.isEmpty():
             break
-        one = placed.filter("pivot").select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
+        one = placed.filter("pivot").select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), *[F.col(x).alias(f"a{x}") for x in SHORT])
         pairs = (
             placed.join(one, "token")
             .filter((F.col("c") != F.col("ca")) & (~F.col("pivot") | (F.col("a") < F.col("node"))))
             .filter((F.col("n") * den >= F.col("na") * num) & (F.col("na") * den >= F.col("n") * num))
+            .filter(apart * (den + num) <= (F.col("n") + F.col("na")) * (den - num))
             .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
             .distinct()
         )
         links = links.union(_verified(pairs, profiles, num, den))
         components = materialise(connected_components(links, "a", "b"), "components")
-        done, groups = groups_table, materialise(placed.filter(~F.col("pivot")).select("token", "node", "n", "weight"), "groups")
+        done, groups = groups_table, materialise(placed.filter(~F.col("pivot")).select("token", "node", "n", "weight", *SHORT), "groups")
         discard(done, placed)
         groups_table = groups
         pivots, first = pivots * 64, False

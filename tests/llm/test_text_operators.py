@@ -206,6 +206,50 @@ def test_jaccard_odd_rows(spark):
     assert jaccard_join.jaccard_classes(docs.limit(0)).count() == 0
 
 
+def test_jaccard_compares_no_unlike_texts(spark, monkeypatch):
+    """Members of a family that share much of one text but link to nothing are not compared whole."""
+    texts = []
+    for family in range(4):
+        base = prose(50 + family, 140, 10**6)
+        texts += [base + " " + prose(1000 * family + i, 60, 10**6) for i in range(7)]
+    written, write = {}, jaccard_join.materialise
+
+    def count(df, name="step"):
+        out = write(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialise", count)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(frame(spark, texts)).collect()}
+    assert got == {i: i for i in range(len(texts))}
+    assert written.get("kept", 0) == 0
+
+
+@pytest.mark.parametrize("num, den, size", [(85, 100, 4), (80, 100, 5), (75, 100, 4), (60, 100, 4)])
+def test_jaccard_filters_lose_no_link(num, den, size):
+    r = random.Random(num)
+    none = (jaccard_join.np.zeros(0, "uint64"), jaccard_join.np.zeros(0, "int64"))
+    runs = jaccard_join.has_runs(num, den)
+    assert runs == (num >= 75)
+    linked = 0
+    for n in [*range(6, 40), 60, 64, 65, 75, 100, 300, 900] * 12:
+        a = prose(r.randrange(10**9), n, 10**6).split()
+        b = list(a)
+        for _ in range(r.randrange(1, max(2, n // 40 + 1))):
+            b[r.randrange(len(b))] = f"edit{r.randrange(10**6)}"
+        b = b[: len(b) - r.randrange(0, max(1, n // 10))]
+        x, y = (jaccard_join.shingle_set(" ".join(t), size, {}) for t in (a, b))
+        both = len(jaccard_join.np.intersect1d(x, y))
+        if both * den < num * (len(x) + len(y) - both) or both == len(x) == len(y):
+            continue
+        linked += 1
+        shared = len(set(jaccard_join.keys(x, num, den, runs, none).tolist()) & set(jaccard_join.keys(y, num, den, runs, none).tolist()))
+        assert shared >= (jaccard_join.COMMON if max(len(x), len(y)) >= jaccard_join.LONG else 1)
+        p, q = jaccard_join.bitmap(x, 8), jaccard_join.bitmap(y, 8)
+        assert sum(bin(int(v) & (2**64 - 1)).count("1") for v in p ^ q) <= len(x) + len(y) - 2 * both
+    assert linked > 50
+
+
 # --- byte-level BPE --------------------------------------------------------
 
 
