@@ -250,6 +250,26 @@ def test_jaccard_filters_lose_no_link(num, den, size):
     assert linked > 50
 
 
+def test_seeds_are_taken_once(spark, monkeypatch):
+    """Each text is cut into seeds once for the counts and the places together."""
+    taken, cut = spark.sparkContext.accumulator(0), chaining._occurrences
+
+    def counted(docs):
+        def run(batches):
+            for pdf in batches:
+                taken.add(len(pdf))
+                yield pdf
+
+        return cut(docs.mapInPandas(run, docs.schema))
+
+    monkeypatch.setattr(chaining, "_occurrences", counted)
+    passage = prose(1, 70)
+    texts = [prose(10 + i, 30) + " " + passage for i in range(3)] + [prose(20, 90)]
+    got = {row.doc_id for row in chaining.repeated_passages(frame(spark, texts)).collect()}
+    assert got == {0, 1, 2}
+    assert taken.value == len(texts)
+
+
 # --- byte-level BPE --------------------------------------------------------
 
 
