@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,8 @@ ORDERS = 3
 MAX_FREQUENT, FREQUENT = 200_000, 8
 #: Shingles a task counts at once, and members of a token's group that are all compared with each other.
 COUNT_AT_ONCE, SMALL_GROUP = 1_000_000, 24
+#: Slices in which the keys of all sets are shuffled, one after the other: what lies on disk at once is one slice's.
+SLICES = 4
 #: Words whose hashes a task remembers.
 MAX_KNOWN = 200_000
 #: Tokens, or runs of neighbours, that linked sets share in their prefixes, at least (fewer if they share fewer
@@ -165,8 +168,9 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> tuple[np.ndarray
 
 
 def _signatures(docs: DataFrame, id: str, text: str, size: int, num: int, den: int, shared) -> DataFrame:
-    """``row, doc, n, same (digest of the set), tokens (keys in the first order)`` of every row."""
+    """``row, doc, n, same (digest of the set), t0 ... (keys in the first order, by slice)`` of every row."""
     runs = has_runs(num, den)
+    slices = [f"t{k}" for k in range(SLICES)]
 
     def run(batches):
         known: dict[bytes, int] = {}
@@ -175,14 +179,15 @@ def _signatures(docs: DataFrame, id: str, text: str, size: int, num: int, den: i
             for t in pdf[text]:
                 s = shingle_set(t, size, known)
                 p = keys(s, num, den, runs, shared.value) if len(s) else s
-                out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None, p.view(np.int64)))
-            n, same, tokens = zip(*out) if out else ((), (), ())
-            yield pd.DataFrame({"doc": pdf[id], "n": n, "same": same, "tokens": tokens})
+                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+                out.append((len(s), digest, *[p[p % np.uint64(SLICES) == k].view(np.int64) for k in range(SLICES)]))
+            n, same, *tokens = zip(*out) if out else [()] * (SLICES + 2)
+            yield pd.DataFrame({"doc": pdf[id], "n": n, "same": same} | dict(zip(slices, tokens)))
         known.clear()
         release_memory()
 
     kind = docs.schema[id].dataType.simpleString()
-    out = docs.select(id, text).mapInPandas(run, f"doc {kind}, n long, same binary, tokens array<long>")
+    out = docs.select(id, text).mapInPandas(run, f"doc {kind}, n long, same binary, " + ", ".join(f"{t} array<long>" for t in slices))
     return out.withColumn("row", F.monotonically_increasing_id())
 
 
@@ -246,13 +251,18 @@ def _groups(rows: DataFrame, num: int, den: int) -> DataFrame:
 
     ``rows`` are signatures of one row for each set. Nodes with fewer shared keys than any link needs are left out.
     """
-    # dealt by key once, for the counts and for the rows alike
-    listed = rows.select(F.explode("tokens").alias("token"), F.col("doc").alias("node"), "n").repartition("token")
-    often = listed.groupBy("token").agg(
-        F.count(F.lit(1)).alias("m"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.min("n").alias("s"), F.max("n").alias("l")
-    )
-    often = often.filter("lo <> hi").filter((F.col("m") > 2) | (F.col("s") * den >= F.col("l") * num)).select("token")
-    listed = materialise(listed.join(often.hint("shuffle_hash"), "token", "left_semi"), "shared")
+    slices = []
+    for k in range(SLICES):
+        # dealt by key once, for the counts and for the rows alike
+        dealt = rows.select(F.explode(f"t{k}").alias("token"), F.col("doc").alias("node"), "n").repartition("token")
+        often = dealt.groupBy("token").agg(
+            F.count(F.lit(1)).alias("m"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.min("n").alias("s"), F.max("n").alias("l")
+        )
+        often = often.filter("lo <> hi").filter((F.col("m") > 2) | (F.col("s") * den >= F.col("l") * num)).select("token")
+        slices.append(materialise(dealt.join(often.hint("shuffle_hash"), "token", "left_semi"), "shared"))
+        del dealt, often
+        free_shuffles(rows.sparkSession)
+    listed = reduce(DataFrame.union, slices)
     if has_runs(num, den):
         least = F.when(F.col("n") >= LONG, COMMON).otherwise(1)
     else:
@@ -265,7 +275,7 @@ def _groups(rows: DataFrame, num: int, den: int) -> DataFrame:
     alike = shared.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("lo"), F.max("node").alias("hi"), part(1), part(2))
     alike = alike.filter("lo <> hi").groupBy("m", "lo", "hi", "h1", "h2").agg(F.min("token").alias("token"))
     groups = materialise(shared.join(alike.select("token"), "token", "left_semi").select("token", "node", "n", "weight"), "groups")
-    discard(listed, used)
+    discard(*slices, used)
     return groups
 
 
@@ -299,7 +309,7 @@ def jaccard_classes(
         .select("same", F.col("r.doc").alias("node"), F.col("r.row").alias("row"))
     )
     nodes = materialise(nodes, "nodes")
-    members = materialise(rows.drop("tokens", "row").join(nodes.select("same", "node"), "same", "left").drop("same"), "members")
+    members = materialise(rows.select("doc", "n", "same").join(nodes.select("same", "node"), "same", "left").drop("same"), "members")
     copies = rows.select("row").join(nodes.select("row"), "row", "left_anti")
     copies = materialise(copies, "copies")
     first_rows = rows.join(F.broadcast(copies) if copies.count() <= MAX_BROADCAST else copies, "row", "left_anti")
@@ -355,6 +365,7 @@ def jaccard_classes(
         free_shuffles(spark)
     if components is None:
         components = connected_components(links, "a", "b")
+    discard(placed, groups_table, profiles)
     return members.join(components, F.col("node") == F.col("id"), "left").select(
         F.col("doc").alias("doc_id"),
         F.col("n").alias("n_shingles"),
@@ -368,9 +379,10 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **how) ->
     Of rows repeating a kept id one stays (the least text); rows with a null id all stay.
     """
     classes = jaccard_classes(docs, id, text, **how)
-    gone = classes.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col(id) == F.col("_gone"), "left_anti")
+    gone = materialise(classes.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    kept = docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST else gone, F.col(id) == F.col("_gone"), "left_anti")
     repeated = materialise(classes.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select(F.col("doc_id").alias("_twice")), "repeated")
+    free_shuffles(docs.sparkSession)
     if repeated.isEmpty():
         return kept
     single = kept.join(repeated, F.col(id) == F.col("_twice"), "left_semi")

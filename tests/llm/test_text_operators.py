@@ -8,6 +8,7 @@ import gzip
 import hashlib
 import json
 import lzma
+import os
 import random
 import re
 import zlib
@@ -225,6 +226,29 @@ def test_jaccard_compares_no_unlike_texts(spark, monkeypatch):
     assert written.get("kept", 0) == 0
 
 
+def test_near_copies_keep_little_on_disk(spark, monkeypatch):
+    """Keys are shuffled a slice at a time, texts not at all, and nothing with a text's length stays behind."""
+    texts = near_copies(1, 30) + [prose(i, 60) for i in range(20)]
+    written, shared, write = [], [], jaccard_join.materialise
+
+    def record(df, name="step"):
+        out = write(df, name)
+        written.extend((name, f.removeprefix("file:")) for f in out.inputFiles())
+        if name == "shared":
+            shared.append({r.token for r in out.select("token").distinct().collect()})
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialise", record)
+    kept = jaccard_join.keep_one(frame(spark, texts), size=5, num=80, den=100)
+    want = brute_components(texts, 5, 80, 100)[0]
+    assert {r.doc_id for r in kept.collect()} == {i for i in range(len(texts)) if want[i] == i}
+    assert len(shared) == jaccard_join.SLICES and sum(map(len, shared)) == len(set().union(*shared)) > 0
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    left = {name for name, file in written if os.path.exists(file)}
+    assert not left & {"signatures", "shared", "groups", "placed", "profiles"}
+
+
 @pytest.mark.parametrize("num, den, size", [(85, 100, 4), (80, 100, 5), (75, 100, 4), (60, 100, 4)])
 def test_jaccard_filters_lose_no_link(num, den, size):
     r = random.Random(num)
