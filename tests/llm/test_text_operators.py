@@ -14,6 +14,8 @@ import re
 import zlib
 from urllib.parse import quote, quote_plus
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -294,6 +296,48 @@ def test_seeds_are_taken_once(spark, monkeypatch):
     assert taken.value == len(texts)
 
 
+def test_pairs_write_passages_only_and_texts_are_prepared_once(spark, monkeypatch):
+    """Pieces short of a passage are not written, and a task prepares each text once for all its pairs."""
+    written, write = [], chaining.materialise
+
+    def record(df, name="step"):
+        out = write(df, name)
+        if name == "passages":
+            written.extend(out.select((out.e - out.s).alias("n")).collect())
+        return out
+
+    monkeypatch.setattr(chaining, "materialise", record)
+    line, passage = prose(2, 30), prose(1, 70)
+    texts = [prose(10 + i, 30, 9000) + " " + line + " " + prose(30 + i, 30, 9000) for i in range(6)] + [prose(50 + i, 20, 9000) + " " + passage for i in range(3)]
+    got = {row.doc_id for row in chaining.repeated_passages(frame(spark, texts)).collect()}
+    assert got == {6, 7, 8}
+    assert written and min(r.n for r in written) >= chaining.MIN_WORDS
+    cut, taken = chaining.seeds, []
+    monkeypatch.setattr(chaining, "seeds", lambda codes, *how: taken.append(len(codes)) or cut(codes, *how))
+    codes = [chaining.word_codes(t, {}).astype("uint32").tobytes() for t in texts]
+    pairs = [(a, b) for a in range(9) for b in range(a)]
+    pdf = pd.DataFrame({"a": [a for a, _ in pairs], "b": [b for _, b in pairs], "ca": [codes[a] for a, _ in pairs], "cb": [codes[b] for _, b in pairs]})
+    (found,) = chaining._compare(50)(iter([pdf]))
+    assert set(found.node) == {6, 7, 8} and len(taken) == len(texts)
+
+
+def test_joined_passages_have_the_likeness_of_their_shingles():
+    r = random.Random(8)
+    joined = 0
+    for words in [8, 30, 9000] * 25:
+        a = [r.randrange(words) for _ in range(r.randrange(20, 300))]
+        b = list(a)
+        for _ in range(r.randrange(5)):
+            b[r.randrange(len(b))] = 10**6 + r.randrange(99)
+        x, y = (np.array(v, dtype="uint64") for v in (a, b))
+        shingles = lambda v, s, e: {tuple(v[k : k + 5]) for k in range(s, e - 4)}
+        for s, e, t, f, like in chaining.passages(x, y):
+            p, q = shingles(a, s, e), shingles(b, t, f)
+            assert like == len(p & q) / len(p | q) >= 0.8
+            joined += like < 1
+    assert joined > 20
+
+
 # --- byte-level BPE --------------------------------------------------------
 
 
